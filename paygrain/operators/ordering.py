@@ -234,5 +234,12 @@ def share_of_total(rows: DataFrame, column: str | Column, name: str) -> DataFram
     return rows.withColumn(name, F.try_divide(value, total))
 
 
+def share_of_few(rows: DataFrame, column: str | Column, name: str) -> DataFrame:
+    """The same for a result of few rows (one per category or day): a window over all of them
+    reads the rows once, where a subquery would compute what they come from a second time."""
+    value = F.col(column) if isinstance(column, str) else column
+    return rows.withColumn(name, F.try_divide(value, F.sum(value).over(Window.partitionBy())))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), frames)
