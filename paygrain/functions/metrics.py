@@ -61,7 +61,7 @@ def _active(fact: DataFrame, keys: list[str], member: str, name: str) -> DataFra
 def p95_processing_time(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Interpolated 95th percentile from the counts per distinct time."""
     counts = fact.groupBy(*keys, "processing_time_ms").agg(F.count(F.lit(1)).alias("weight"))
-    return counts.groupBy(*keys).agg(F.percentile("processing_time_ms", 0.95, "weight").alias("p95_processing_time"))
+    return counts.groupBy(*keys).agg(F.percentile("processing_time_ms", 0.95, F.col("weight")).alias("p95_processing_time"))
 
 
 def metric_catalogue(fact: DataFrame, keys: list[str], names: list[str] | None = None) -> DataFrame:

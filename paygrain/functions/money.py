@@ -34,3 +34,9 @@ def lookup(key: str | Column, values: dict) -> Column:
     """Value of ``key`` in a small fixed mapping, null when it is not listed."""
     pairs = [F.lit(item) for pair in values.items() for item in pair]
     return F.try_element_at(F.create_map(*pairs), F.col(key) if isinstance(key, str) else key)
+
+
+def round_half_even(value: Column, digits: int = 0) -> Column:
+    """Round the scaled double to the nearest whole number, halves to even, and scale back."""
+    scale = float(10**digits)
+    return F.rint(value * scale) / scale

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import months_of_tenure
-from paygrain.functions.money import clip, lookup, ratio
+from paygrain.functions.money import clip, lookup, ratio, round_half_even
 from paygrain.operators.ordering import share_of_few, share_of_total
 from paygrain.schema import (
     APPROVED,
@@ -117,7 +117,7 @@ def require_fx(table: DataFrame, rates: DataFrame) -> None:
 
 def fx_convert(table: DataFrame, rates: DataFrame) -> DataFrame:
     """Local-currency amount from the USD amount: two decimals, at least 0.01."""
-    local = F.greatest(F.bround(F.col("transaction_amount_usd") / F.col("usd_rate"), 2), F.lit(0.01))
+    local = F.greatest(round_half_even(F.col("transaction_amount_usd") / F.col("usd_rate"), 2), F.lit(0.01))
     converted = table.join(rates.select("currency", "usd_rate"), "currency", "left")
     return converted.withColumn("transaction_amount", local).drop("usd_rate")
 
@@ -196,12 +196,12 @@ def expected_processing_time(is_cross_border: Column, payment_method: Column, ch
         * F.when(payment_method == "bank_transfer", 1.45).otherwise(1.0)
         * F.when(channel == "web", 1.08).otherwise(1.0)
     )
-    return F.bround(clip(time, 90, 5000)).cast("int")
+    return F.rint(clip(time, 90, 5000)).cast("int")
 
 
 def fraud_loss(amount_usd: Column, loss_fraction: Column, is_fraud: Column, status: Column) -> Column:
     """Loss of approved fraud, zero for everything else."""
-    return F.when(is_fraud & (status == APPROVED), F.bround(amount_usd * loss_fraction, 2)).otherwise(0.0)
+    return F.when(is_fraud & (status == APPROVED), round_half_even(amount_usd * loss_fraction, 2)).otherwise(0.0)
 
 
 def with_expectations(
