@@ -64,7 +64,7 @@ def fraud_risk_segments(s: Star) -> DataFrame:
 
 @query
 def transaction_velocity(s: Star) -> DataFrame:
-    return views.transaction_velocity(s.events)
+    return views.transaction_velocity(s.with_currency(s.events))
 
 
 ANOMALY_DOUBLES = [
@@ -122,7 +122,7 @@ def row_counts(s: Star) -> DataFrame:
 
 @query
 def table_manifest(s: Star) -> DataFrame:
-    return tables.manifest(star_tables(s, s.events))
+    return tables.manifest(star_tables(s, s.with_currency(s.events)))
 
 
 @query
@@ -155,7 +155,7 @@ def dq_referential_integrity(s: Star) -> DataFrame:
 
 @query
 def dq_row_rules(s: Star) -> DataFrame:
-    return quality.row_rule_checks(s.lineitem)
+    return quality.row_rule_checks(s.with_currency(s.lineitem))
 
 
 @query
@@ -171,7 +171,8 @@ def dq_part_keys(s: Star) -> DataFrame:
 
 def lineitem_quality(s: Star) -> DataFrame:
     known = star_tables(s, s.lineitem)
-    fact = known.pop("fact_transactions")
+    known.pop("fact_transactions")
+    fact = s.with_currency(s.lineitem)
     return quality.quality_report(fact, known, {"dim_country": 25, "fact_transactions": 5_000_000})
 
 
@@ -240,7 +241,7 @@ def surrogate_keys(s: Star) -> DataFrame:
 
 @query
 def fx_convert(s: Star) -> DataFrame:
-    converted = enrich.fx_convert(s.lineitem, enrich.usd_rates(s.spark))
+    converted = enrich.fx_convert(s.with_currency(s.lineitem), enrich.usd_rates(s.spark))
     return converted.select("transaction_id", "currency", "transaction_amount_usd", "transaction_amount")
 
 
@@ -248,7 +249,7 @@ def fx_convert(s: Star) -> DataFrame:
 def fx_missing(s: Star) -> DataFrame:
     """A rate table without the rand and the dirham."""
     rates = enrich.usd_rates(s.spark).where("currency NOT IN ('ZAR', 'AED')")
-    return enrich.fx_missing(s.lineitem, rates)
+    return enrich.fx_missing(s.with_currency(s.lineitem), rates)
 
 
 @query
@@ -419,35 +420,32 @@ def test_split(s: Star) -> DataFrame:
     return modeling.read_split(features(s), "test", *SPLIT_DATES)
 
 
-LR_ITERATIONS, BOOSTING_ITERATIONS = 50, 10
-
-
 @query
 def fraud_lr(s: Star) -> DataFrame:
-    return modeling.score(modeling.fit_lr(train(s), LR_ITERATIONS), test_split(s))
+    return modeling.score(modeling.fit_lr(train(s)), test_split(s))
 
 
 @query
 def fraud_gbt(s: Star) -> DataFrame:
-    return modeling.score(modeling.fit_gbt(train(s), BOOSTING_ITERATIONS), test_split(s))
+    return modeling.score(modeling.fit_gbt(train(s)), test_split(s))
 
 
 @query
 def lr_coefficients(s: Star) -> DataFrame:
-    return modeling.lr_coefficients(modeling.fit_lr(train(s), LR_ITERATIONS), s.spark)
+    return modeling.lr_coefficients(modeling.fit_lr(train(s)), s.spark)
 
 
 @query
 def top_coefficients(s: Star) -> DataFrame:
-    return modeling.top_coefficients(modeling.lr_coefficients(modeling.fit_lr(train(s), LR_ITERATIONS), s.spark))
+    return modeling.top_coefficients(modeling.lr_coefficients(modeling.fit_lr(train(s)), s.spark))
 
 
 @query
 def model_comparison(s: Star) -> DataFrame:
     return evaluation.model_comparison(
         {
-            "logistic_regression": modeling.score(modeling.fit_lr(train(s), LR_ITERATIONS), test_split(s)),
-            "gradient_boosting": modeling.score(modeling.fit_gbt(train(s), BOOSTING_ITERATIONS), test_split(s)),
+            "logistic_regression": modeling.score(modeling.fit_lr(train(s)), test_split(s)),
+            "gradient_boosting": modeling.score(modeling.fit_gbt(train(s)), test_split(s)),
         }
     )
 

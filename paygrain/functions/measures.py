@@ -51,6 +51,30 @@ def roll_up(measures: DataFrame, *keys: str | Column, extra: Sequence[Column] =
     return measures.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in ADDITIVE_NAMES], *extra)
 
 
+def distinct_members(fact: DataFrame, keys: Sequence[str], member: str, name: str) -> DataFrame:
+    """Distinct non-null members per group, deduplicated before they are counted.
+
+    A pass of its own over two or three columns. As one more distinct aggregate beside the
+    measures it would copy every row, or carry all measures at the grain of the member.
+    """
+    pairs = fact.select(*keys, member).dropna(subset=[member]).distinct()
+    return pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def meet(groups: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Attach further columns to groups whose keys may be null."""
+    renamed = extra.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    return groups.join(renamed, same, "left").drop(*[f"_{key}" for key in keys])
+
+
+def with_distinct_members(groups: DataFrame, fact: DataFrame, keys: Sequence[str], members: dict[str, str]) -> DataFrame:
+    """Add one distinct count per entry of ``members`` (new column -> counted column)."""
+    for name, member in members.items():
+        groups = meet(groups, distinct_members(fact, keys, member, name), keys)
+    return groups.fillna(0, subset=list(members))
+
+
 def reported(name: str) -> Column:
     """A report column computed from additive measures, named as in the reports."""
     expressions = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paygrain.functions.measures import measure, reported
+from paygrain.functions.measures import measure, meet, reported, with_distinct_members
 from paygrain.functions.money import dollars, ratio
 from paygrain.schema import DECLINED
 
@@ -51,13 +51,6 @@ ALL_METRICS = [
 ]
 
 
-def _active(fact: DataFrame, keys: list[str], member: str, name: str) -> DataFrame:
-    """Distinct members per group, deduplicated before they are counted."""
-    return fact.select(*keys, member).dropna(subset=[member]).distinct().groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(name)
-    )
-
-
 def p95_processing_time(fact: DataFrame, keys: list[str]) -> DataFrame:
     """Interpolated 95th percentile from the counts per distinct time."""
     counts = fact.groupBy(*keys, "processing_time_ms").agg(F.count(F.lit(1)).alias("weight"))
@@ -65,31 +58,21 @@ def p95_processing_time(fact: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def metric_catalogue(fact: DataFrame, keys: list[str], names: list[str] | None = None) -> DataFrame:
-    """The named metrics (all by default), one row per combination of ``keys``.
-
-    Distinct members and percentile counts are grouped in their own narrow passes, because
-    several distinct aggregates in one would copy every row once per aggregate.
-    """
+    """The named metrics (all by default), one row per combination of ``keys``."""
     names = names or ALL_METRICS
-    groups = measure(fact, *keys)
+    members = {}
     if any("customer" in name for name in names):
-        groups = _meet(groups, _active(fact, keys, "customer_id", "active_customers"), keys)
+        members["active_customers"] = "customer_id"
     if "active_merchants" in names:
-        groups = _meet(groups, _active(fact, keys, "merchant_id", "active_merchants"), keys)
+        members["active_merchants"] = "merchant_id"
+    groups = measure(fact, *keys)
+    if members:
+        groups = with_distinct_members(groups, fact, keys, members)
     if "p95_processing_time" in names:
-        groups = _meet(groups, p95_processing_time(fact, keys), keys)
+        groups = meet(groups, p95_processing_time(fact, keys), keys)
     return groups.select(*keys, *[metric(name) for name in names])
 
 
-def _meet(groups: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on group keys that may be null."""
-    renamed = extra.withColumnsRenamed({key: f"_{key}" for key in keys})
-    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
-    joined = groups.join(renamed, same, "left").drop(*[f"_{key}" for key in keys])
-    counted = [c for c in ("active_customers", "active_merchants") if c in extra.columns]
-    return joined.fillna(0, subset=counted) if counted else joined
-
-
 def merchant_metrics(fact: DataFrame) -> DataFrame:
     return metric_catalogue(fact, ["merchant_id"], MERCHANT_METRICS)
 

@@ -1,0 +1,13 @@
+"""Checks on a table's size before it is sent to every executor."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# Of a few short columns: some tens of megabytes at most.
+BROADCAST_ROWS = 500_000
+
+
+def has_few_rows(table: DataFrame, limit: int | None = None) -> bool:
+    """Whether ``table`` is counted at no more than ``limit`` rows (Parquet answers from its footers)."""
+    return table.count() <= (BROADCAST_ROWS if limit is None else limit)

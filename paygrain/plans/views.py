@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import transaction_date, transaction_month
-from paygrain.functions.measures import measure, report, reported, roll_up
+from paygrain.functions.measures import measure, report, reported, roll_up, with_distinct_members
 from paygrain.functions.money import ratio
+from paygrain.operators.lookup import has_few_rows
 from paygrain.operators.ordering import ROWS_PER_TASK, ntile, percent_rank, with_global_ranks
 from paygrain.operators.velocity import with_trailing_totals
 from paygrain.schema import DECLINED
@@ -118,21 +119,17 @@ def customer_analytics(
     low_months: int = 3,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Two steps: measures per customer and month, then per customer, so that counting active
-    months needs no distinct aggregate. Equal spend or activity is ordered by customer id."""
-    day = transaction_date(fact)
-    monthly = measure(
-        fact, "customer_id", F.trunc(day, "MM").alias("month"),
-        extra=[F.min(day).alias("first_day"), F.max(day).alias("last_day")],
-    )
-    customers = roll_up(
-        monthly, "customer_id",
+    """Equal spend or activity is ordered by customer id."""
+    dated = fact.withColumn("transaction_date", transaction_date(fact))
+    customers = measure(
+        dated, "customer_id",
         extra=[
-            F.min("first_day").alias("first_transaction_date"),
-            F.max("last_day").alias("last_transaction_date"),
-            F.count("month").alias("active_months"),
+            F.min("transaction_date").alias("first_transaction_date"),
+            F.max("transaction_date").alias("last_transaction_date"),
         ],
     )
+    by_month = dated.withColumn("month", F.trunc("transaction_date", "MM"))
+    customers = with_distinct_members(customers, by_month, ["customer_id"], {"active_months": "month"})
     customers = report(
         customers.join(dim_customer.select("customer_id", *CUSTOMER_ATTRIBUTES), "customer_id"),
         [
@@ -175,17 +172,17 @@ RISK_SEGMENT = [
 def risk_measures(fact: DataFrame, dim_merchant: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Additive measures per fraud-risk segment.
 
-    The fact is grouped by its keys, then the merchant's category and rating replace the
-    merchant, then the customer's risk replaces the customer. After the second step a customer
-    has at most one row per combination of the low-cardinality columns, so the customer join,
-    the one with the large dimension, has no hot key.
+    Customers known to be few are broadcast. Otherwise the fact is first grouped by customer
+    and the low-cardinality columns: a customer then has at most one row per combination of
+    those, so the customer join, the one with the large dimension, has no hot key.
     """
     facets = ["channel", "payment_method", "is_cross_border"]
     merchants = dim_merchant.select("merchant_id", "merchant_category", "merchant_risk_rating")
     customers = dim_customer.select("customer_id", F.col("risk_segment").alias("customer_risk_segment"))
-    per_customer = measure(
-        fact.join(merchants, "merchant_id"), "customer_id", "merchant_category", "merchant_risk_rating", *facets
-    )
+    rated = fact.join(merchants, "merchant_id")
+    if has_few_rows(customers):
+        return measure(rated.join(F.broadcast(customers), "customer_id"), *RISK_SEGMENT)
+    per_customer = measure(rated, "customer_id", "merchant_category", "merchant_risk_rating", *facets)
     return roll_up(per_customer.join(customers, "customer_id"), *RISK_SEGMENT)
 
 
@@ -284,12 +281,10 @@ def merchant_daily_anomalies(
 
 def executive_kpis_monthly(fact: DataFrame) -> DataFrame:
     """One row per month; the month-on-month window sees only those few rows."""
-    monthly = measure(
-        fact, transaction_month(fact),
-        extra=[
-            F.count_distinct("customer_id").alias("active_customers"),
-            F.count_distinct("merchant_id").alias("active_merchants"),
-        ],
+    by_month = fact.withColumn("month", transaction_month(fact))
+    monthly = with_distinct_members(
+        measure(by_month, "month"), by_month, ["month"],
+        {"active_customers": "customer_id", "active_merchants": "merchant_id"},
     )
     monthly = monthly.select(
         "month",
@@ -302,10 +297,10 @@ def executive_kpis_monthly(fact: DataFrame) -> DataFrame:
         ],
         "active_customers", "active_merchants", reported("average_processing_time_ms"),
     )
-    by_month = Window.orderBy("month")
+    in_order = Window.orderBy("month")
     lagged = monthly.withColumns(
         {
-            f"prior_{name}": F.lag(name).over(by_month)
+            f"prior_{name}": F.lag(name).over(in_order)
             for name in ("transaction_count", "transaction_value_usd", "approval_rate", "fraud_loss_usd")
         }
     )

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
+    # Column calls need not record where they were made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -6,11 +6,10 @@ can state the same mapping.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 DIM_COUNTRY = [
     "n_nationkey AS country_id",
@@ -116,16 +115,34 @@ SEGMENT_CROSS_BORDER_RATE = {
 VALIDATION_FROM, TEST_FROM = "2024-01-21", "2024-01-26"
 
 
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 @dataclass
 class Star:
-    """Star-schema tables read from one directory of test data."""
+    """Star-schema tables read from one directory of test data.
+
+    Schemas are given, so that no job is run to infer them. The two facts come without their
+    currency, which costs a join here; ``with_currency`` completes them.
+    """
 
     spark: SparkSession
     directory: str
-    tables: dict[str, DataFrame] = field(default_factory=dict)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.directory}/{name}.parquet")
 
     @cached_property
     def country(self) -> DataFrame:
@@ -144,27 +161,25 @@ class Star:
     def device(self) -> DataFrame:
         return self.raw("supplier").selectExpr(*DIM_DEVICE)
 
-    def _fact(self, payments: DataFrame) -> DataFrame:
-        currency = self.country.select("country_id", "currency")
-        return (
-            payments.selectExpr("*", FRAUD_LOSS).join(currency, "country_id", "left").select(*FACT_ORDER)
-        )
-
     @cached_property
     def events(self) -> DataFrame:
         customer = self.raw("customer").select("c_custkey", "c_nationkey")
         events = self.raw("events").selectExpr("*", EVENT_KEY)
-        return self._fact(events.join(customer, F.col("user_id") == F.col("c_custkey")).selectExpr(*EVENT_PAYMENT))
+        joined = events.join(customer, events.user_id == customer.c_custkey)
+        return joined.selectExpr(*EVENT_PAYMENT).selectExpr("*", FRAUD_LOSS)
 
     @cached_property
     def lineitem(self) -> DataFrame:
         customer = self.raw("customer").select("c_custkey", "c_nationkey")
         orders = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
         lines = self.raw("lineitem")
-        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
-            customer, F.col("o_custkey") == F.col("c_custkey")
+        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(
+            customer, orders.o_custkey == customer.c_custkey
         )
-        return self._fact(joined.selectExpr(*LINEITEM_PAYMENT))
+        return joined.selectExpr(*LINEITEM_PAYMENT).selectExpr("*", FRAUD_LOSS)
+
+    def with_currency(self, fact: DataFrame) -> DataFrame:
+        return fact.join(self.country.select("country_id", "currency"), "country_id", "left").select(*FACT_ORDER)
 
 
 def mapping_ctes() -> str:
