@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import epoch_second
 from paygrain.functions.money import cents, dollars
 
+SLICE_REACHES = 8  # slice length, in multiples of the longest window
+
 
 def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
     """Count and USD value per customer and second over trailing windows, both ends inclusive.
@@ -20,29 +22,41 @@ def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
     from the end of the slice before that its windows reach back to. Payments are summed per
     second before they are moved, so a slice never holds more rows than it has seconds, even
     if one customer makes most of the payments.
+
+    Inside a slice a window's total is the running sum up to now less the running sum up to
+    just before the window: two frames that only ever grow, hence linear in the rows, where a
+    moving frame would add up each window from its beginning. Sums are whole cents, so the
+    difference is exact.
     """
     reach = max(windows.values())
-    slice_seconds = 2 * reach
+    slice_seconds = SLICE_REACHES * reach
+    second = F.col("second")
     per_second = (
         fact.select("customer_id", epoch_second().alias("second"), cents("transaction_amount_usd").alias("c"))
         .groupBy("customer_id", "second")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count("c").alias("valued"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
     )
-    own = F.floor(F.col("second") / slice_seconds)
-    # Rows within reach of the slice end are needed once more as history of the next slice.
-    needed_next = F.pmod(F.col("second"), F.lit(slice_seconds)) >= slice_seconds - reach
-    placed = per_second.withColumn("own", own).withColumn(
-        "slice", F.explode(F.when(needed_next, F.array("own", F.col("own") + 1)).otherwise(F.array("own")))
+    own = F.floor(second / slice_seconds)
+    needed_next = F.pmod(second, F.lit(slice_seconds)) >= slice_seconds - reach
+    placed = per_second.withColumn(
+        "slice", F.explode(F.when(needed_next, F.array(own, own + 1)).otherwise(F.array(own)))
     )
     by_time = Window.partitionBy("customer_id", "slice").orderBy("second")
+    start = Window.unboundedPreceding
+
+    def within(column: str, length: int) -> Column:
+        up_to_now = F.sum(column).over(by_time.rangeBetween(start, 0))
+        before = F.sum(column).over(by_time.rangeBetween(start, -length - 1))
+        # Payments without a time are one row per customer, in a slice of their own.
+        return F.when(second.isNull(), F.col(column)).otherwise(up_to_now - F.coalesce(before, F.lit(0)))
+
     totals = {}
     for suffix, length in windows.items():
-        frame = by_time.rangeBetween(-length, 0)
-        totals[f"customer_transactions_{suffix}"] = F.sum("n").over(frame)
-        totals[f"customer_value_usd_{suffix}"] = dollars(F.sum("c").over(frame))
+        totals[f"customer_transactions_{suffix}"] = within("n", length)
+        totals[f"customer_value_usd_{suffix}"] = F.when(within("valued", length) > 0, dollars(within("c", length)))
     return (
         placed.withColumns(totals)
-        .where(F.col("slice").eqNullSafe(F.col("own")))
+        .where(F.col("slice").eqNullSafe(own))
         .select("customer_id", "second", *totals)
     )
 

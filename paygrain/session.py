@@ -16,6 +16,9 @@ SETTINGS = {
     # A join side is only broadcast when Spark has measured it below this size.
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    # A shuffled join builds hash maps instead of sorting the fact where every partition of the
+    # smaller side turned out to fit.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.ui.enabled": "false",
