@@ -594,7 +594,7 @@ SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' AND l_quantity >=
   THEN round_even(l_extendedprice * (1e0 - l_discount), 2) ELSE 0e0 END AS fraud_loss_amount_usd
 FROM lineitem
 """)
-plain("event_times", "SELECT event_id, date_trunc('second', ts) AS event_time FROM events")
+plain("event_time", "SELECT event_id, date_trunc('second', ts) AS event_time FROM events")
 plain("dense_ids", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, 1000 + rank() OVER (
   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS transaction_id

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.functions import metrics
-from paygrain.functions.dates import event_time, transaction_date
+from paygrain.functions import dates, metrics
+from paygrain.functions.dates import transaction_date
 from paygrain.functions.measures import measure
 from paygrain.functions.money import dollars
 from paygrain.operators import enrich, evaluation, modeling, ordering, quality
@@ -304,10 +304,10 @@ def fraud_loss(s: Star) -> DataFrame:
 
 
 @query
-def event_times(s: Star) -> DataFrame:
+def event_time(s: Star) -> DataFrame:
     """Payment times put together again from their date, hour, minute and second."""
     stamp = F.col("ts")
-    rebuilt = event_time(F.to_date(stamp), F.hour(stamp), F.minute(stamp), F.second(stamp))
+    rebuilt = dates.event_time(F.to_date(stamp), F.hour(stamp), F.minute(stamp), F.second(stamp))
     return s.raw("events").select("event_id", rebuilt.alias("event_time"))
 
 
@@ -430,6 +430,12 @@ def fraud_gbt(s: Star) -> DataFrame:
     return modeling.score(modeling.fit_gbt(train(s)), test_split(s))
 
 
+@query
+def score(s: Star) -> DataFrame:
+    """The fitted regression applied to the validation split."""
+    return modeling.score(modeling.fit_lr(train(s)), modeling.read_split(features(s), "validation", *SPLIT_DATES))
+
+
 @query
 def lr_coefficients(s: Star) -> DataFrame:
     return modeling.lr_coefficients(modeling.fit_lr(train(s)), s.spark)

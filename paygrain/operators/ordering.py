@@ -148,8 +148,9 @@ def keys_at(
     n = keyed.count()
     ranges = _range_count(n, rows_per_task)
     cuts = _cut_points(keyed, key, n, ranges) if ranges > 1 else []
-    numbered = keyed.withColumn("range", _range_number(keyed, key, cuts))
-    found = _per_range(keyed, {"all": _range_number(keyed, key, cuts)}, {"n": F.count(F.lit(1))})
+    number = _range_number(keyed, key, cuts)
+    numbered = keyed.withColumn("range", number)
+    found = _per_range(keyed, {"all": number}, {"n": F.count(F.lit(1))}) if cuts else {}
     offsets = _offsets(found, "all", "n", 2 * len(cuts) + 1)
     place = {p: max(i for i, offset in enumerate(offsets) if offset < p) for p in positions}
     answer = {p: cuts[i // 2] for p, i in place.items() if i % 2}

@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from paygrain.functions.dates import transaction_date
 
 ROWS_PER_FILE = 250_000
 CLUSTER_BY = ["merchant_id", "customer_id", "transaction_status"]
-FILES_PER_DAY = 16
 
 
 def write_table(table: DataFrame, path: str) -> None:
@@ -28,21 +26,16 @@ def write_parts(table: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE)
 
 
 def write_fact(
-    fact: DataFrame,
-    path: str,
-    rows_per_file: int = ROWS_PER_FILE,
-    cluster_by: list[str] | None = None,
-    files_per_day: int = FILES_PER_DAY,
+    fact: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, cluster_by: list[str] | None = None
 ) -> None:
     """The fact table partitioned by day and sorted within files.
 
-    A day is spread over ``files_per_day`` writers by a hash of the payment, so that neither a
-    busy day nor a busy merchant falls to one task.
+    The rebalance hint brings a day's rows together and lets AQE split a busy day, and merge
+    quiet ones, to tasks of the advisory partition size.
     """
-    spread = F.pmod(F.xxhash64("transaction_id"), F.lit(files_per_day))
     dated = fact.withColumn("transaction_date", transaction_date(fact))
     (
-        dated.repartition("transaction_date", spread)
+        dated.hint("rebalance", "transaction_date")
         .sortWithinPartitions("transaction_date", *(cluster_by or CLUSTER_BY))
         .write.mode("overwrite")
         .option("compression", "zstd")

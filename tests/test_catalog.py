@@ -9,7 +9,7 @@ from conftest import TESTDATA
 import __spark_entry__ as driver
 
 SMALL = str(TESTDATA / "sf0.001")
-FITTED = {"fraud_lr", "fraud_gbt", "lr_coefficients", "top_coefficients", "model_comparison"}
+FITTED = {"fraud_lr", "fraud_gbt", "score", "lr_coefficients", "top_coefficients", "model_comparison"}
 
 
 @pytest.fixture(scope="module")
