@@ -18,6 +18,20 @@ def transaction_month(fact: DataFrame) -> Column:
     return F.trunc(transaction_date(fact), "MM").alias("month")
 
 
+def _month_number(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def month_word(day: Column) -> Column:
+    """Number of the 64-month word that holds the month of ``day``."""
+    return F.floor(_month_number(day) / 64)
+
+
+def month_bit(day: Column) -> Column:
+    """The month's bit in its word."""
+    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(_month_number(day), F.lit(64)))
+
+
 def epoch_second() -> Column:
     """Whole seconds since the epoch; accepts timestamps with and without a zone."""
     return F.unix_timestamp("transaction_timestamp")

@@ -41,7 +41,6 @@ LEAKING = [
 SAMPLE_MODULUS = 4
 VALIDATION_FROM, TEST_FROM = "2025-11-01", "2025-12-01"
 SEED = 20260826
-MAX_CATEGORIES = 1024
 
 
 class LeakageError(ValueError):
@@ -219,9 +218,10 @@ def boosting_pipeline(
 def fit_lr(train: DataFrame, max_iter: int = 300) -> PipelineModel:
     """Fit the logistic regression on a training split."""
     assert_no_leakage(FEATURES)
-    rows = balanced_weights(model_columns(train)).persist()
+    rows = model_columns(train).persist()
     try:
-        return linear_pipeline(most_frequent(rows, CATEGORICAL_FEATURES), rows.count(), max_iter).fit(rows)
+        pipeline = linear_pipeline(most_frequent(rows, CATEGORICAL_FEATURES), rows.count(), max_iter)
+        return pipeline.fit(balanced_weights(rows))
     finally:
         rows.unpersist()
 
@@ -234,12 +234,14 @@ def fit_gbt(train: DataFrame, max_iter: int = 250, tolerance: float = 0.0) -> Pi
     assert_no_leakage(FEATURES)
     use_checkpoint_dir(train.sparkSession)
     held_out = F.pmod(F.xxhash64("transaction_id", F.lit(SEED)), F.lit(10)) == 0
-    rows = balanced_weights(model_columns(train)).withColumn("held_out", held_out).persist()
+    rows = model_columns(train).persist()
     try:
         modes = most_frequent(rows, CATEGORICAL_FEATURES)
-        levels = rows.agg(*[F.approx_count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
-        bins = min(MAX_CATEGORIES, max(64, 2 * max(levels) + 2))
-        return boosting_pipeline(modes, max_iter, bins, tolerance).fit(rows)
+        levels = rows.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
+        bins = max(64, max(levels) + 1)  # a nominal split needs a bin per level and one for unknown
+        return boosting_pipeline(modes, max_iter, bins, tolerance).fit(
+            balanced_weights(rows).withColumn("held_out", held_out)
+        )
     finally:
         rows.unpersist()
 

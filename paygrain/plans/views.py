@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paygrain.functions.dates import transaction_date, transaction_month
+from paygrain.functions.dates import month_bit, month_word, transaction_date, transaction_month
 from paygrain.functions.measures import measure, report, reported, roll_up, with_distinct_members
 from paygrain.functions.money import ratio
 from paygrain.operators.lookup import has_few_rows
@@ -119,17 +119,24 @@ def customer_analytics(
     low_months: int = 3,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Equal spend or activity is ordered by customer id."""
-    dated = fact.withColumn("transaction_date", transaction_date(fact))
-    customers = measure(
-        dated, "customer_id",
+    """Equal spend or activity is ordered by customer id.
+
+    Active months are counted without a distinct aggregate: a customer's months are bits of
+    64-month words, so that the first grouping leaves a row or two per customer.
+    """
+    day = transaction_date(fact)
+    per_word = measure(
+        fact, "customer_id", month_word(day).alias("word"),
+        extra=[F.min(day).alias("first_day"), F.max(day).alias("last_day"), F.bit_or(month_bit(day)).alias("months")],
+    )
+    customers = roll_up(
+        per_word, "customer_id",
         extra=[
-            F.min("transaction_date").alias("first_transaction_date"),
-            F.max("transaction_date").alias("last_transaction_date"),
+            F.min("first_day").alias("first_transaction_date"),
+            F.max("last_day").alias("last_transaction_date"),
+            F.coalesce(F.sum(F.bit_count("months").cast("bigint")), F.lit(0).cast("bigint")).alias("active_months"),
         ],
     )
-    by_month = dated.withColumn("month", F.trunc("transaction_date", "MM"))
-    customers = with_distinct_members(customers, by_month, ["customer_id"], {"active_months": "month"})
     customers = report(
         customers.join(dim_customer.select("customer_id", *CUSTOMER_ATTRIBUTES), "customer_id"),
         [

@@ -27,11 +27,37 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "paygrain", master: str | None = None, **extra: str) -> SparkSession:
+MEGABYTE = 1 << 20
+SHUFFLED_SHARE = 0.5  # of the input, the most that a report's widest shuffle carries
+PARTITION_BYTES = 256 * MEGABYTE
+MAX_PARTITIONS = 100_000
+
+
+def sizing(input_bytes: int) -> dict[str, str]:
+    """Partition settings for a fact table of ``input_bytes``.
+
+    The number of shuffle partitions is an upper bound that keeps a partition at a size one
+    task can sort in memory; AQE merges what turns out smaller. Scan tasks of large tables read
+    more, so that 100 TB are some two hundred thousand tasks and not a million.
+    """
+    partitions = int(input_bytes * SHUFFLED_SHARE / PARTITION_BYTES)
+    scan = 512 if input_bytes > 1 << 40 else 128
+    return {
+        "spark.sql.shuffle.partitions": str(max(200, min(MAX_PARTITIONS, partitions))),
+        "spark.sql.files.maxPartitionBytes": f"{scan}m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    }
+
+
+def build_session(
+    app: str = "paygrain", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with the defaults above; ``input_bytes`` sizes its partitions for the data."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = sizing(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
