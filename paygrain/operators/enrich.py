@@ -7,24 +7,21 @@ column for it or leaves it out.
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paygrain import schema as fixed
 from paygrain.functions.dates import months_of_tenure
 from paygrain.functions.money import clip, lookup, ratio, round_half_even
 from paygrain.operators.ordering import share_of_few, share_of_total
 from paygrain.schema import (
     APPROVED,
-    BASE_APPROVAL_RATE,
-    BASE_FRAUD_RATE,
     CATEGORY_APPROVAL_DELTA,
     CATEGORY_FRAUD_FACTOR,
-    CUSTOMER_RISK_FACTOR,
-    MERCHANT_RISK_FACTOR,
     MONTH_FACTOR,
     SEGMENT_CROSS_BORDER_RATE,
-    TIER_BY_SIZE,
     USD_PER_UNIT,
     WEEKEND_FACTOR,
 )
@@ -85,11 +82,12 @@ def merchant_risk_rating(category: Column, country_multiplier: Column, noise: Co
     score = lookup(category, category_factor) * country_multiplier
     if noise is not None:
         score = score * noise
-    return F.when(score >= 1.45, "High").when(score >= 1.10, "Medium").otherwise("Low")
+    cuts = fixed.RISK_RATING_FROM
+    return F.when(score >= cuts["High"], "High").when(score >= cuts["Medium"], "Medium").otherwise("Low")
 
 
 def merchant_tier(size: Column) -> Column:
-    return lookup(size, TIER_BY_SIZE)
+    return lookup(size, fixed.TIER_BY_SIZE)
 
 
 def surrogate_key(number: Column, prefix: str, width: int) -> Column:
@@ -117,7 +115,7 @@ def require_fx(table: DataFrame, rates: DataFrame) -> None:
 
 def fx_convert(table: DataFrame, rates: DataFrame) -> DataFrame:
     """Local-currency amount from the USD amount: two decimals, at least 0.01."""
-    local = F.greatest(round_half_even(F.col("transaction_amount_usd") / F.col("usd_rate"), 2), F.lit(0.01))
+    local = F.greatest(round_half_even(F.col("transaction_amount_usd") / F.col("usd_rate"), 2), F.lit(fixed.SMALLEST_LOCAL_AMOUNT))
     converted = table.join(rates.select("currency", "usd_rate"), "currency", "left")
     return converted.withColumn("transaction_amount", local).drop("usd_rate")
 
@@ -129,6 +127,11 @@ def cross_border_flag(merchant_country: Column, home_country: Column) -> Column:
     return merchant_country != home_country
 
 
+def _within(probability: Column, bounds: tuple[float, float]) -> Column:
+    """Clip a probability; one that misses a factor stays null."""
+    return F.when(probability.isNotNull(), clip(probability, *bounds))
+
+
 def fraud_scorecard(
     category: Column,
     customer_risk: Column,
@@ -140,19 +143,20 @@ def fraud_scorecard(
     category_factor: dict[str, float] = CATEGORY_FRAUD_FACTOR,
 ) -> Column:
     """Expected probability of fraud: a product of factors, kept within plausible bounds."""
+    at_night = (hour <= fixed.NIGHT_HOURS_UNTIL) | (hour >= fixed.NIGHT_HOURS_FROM)
     factors = [
         lookup(category, category_factor),
-        lookup(customer_risk, CUSTOMER_RISK_FACTOR),
-        lookup(merchant_risk, MERCHANT_RISK_FACTOR),
-        F.when((hour <= 5) | (hour >= 23), 1.45).otherwise(1.0),
-        F.when(is_cross_border, 1.75).otherwise(1.0),
-        F.when(channel == "card_present", 0.72).otherwise(1.28),
-        F.when(amount_usd >= 750, 1.65).when(amount_usd >= 300, 1.25).otherwise(1.0),
+        lookup(customer_risk, fixed.CUSTOMER_RISK_FACTOR),
+        lookup(merchant_risk, fixed.MERCHANT_RISK_FACTOR),
+        F.when(at_night, fixed.NIGHT_FRAUD_FACTOR).otherwise(1.0),
+        F.when(is_cross_border, fixed.CROSS_BORDER_FRAUD_FACTOR).otherwise(1.0),
+        F.when(channel == "card_present", fixed.CARD_PRESENT_FRAUD_FACTOR).otherwise(fixed.REMOTE_FRAUD_FACTOR),
+        F.when(amount_usd >= fixed.LARGE_AMOUNT_USD, fixed.LARGE_AMOUNT_FRAUD_FACTOR)
+        .when(amount_usd >= fixed.MEDIUM_AMOUNT_USD, fixed.MEDIUM_AMOUNT_FRAUD_FACTOR)
+        .otherwise(1.0),
     ]
-    probability = F.lit(BASE_FRAUD_RATE)
-    for factor in factors:
-        probability = probability * factor
-    return F.when(probability.isNotNull(), clip(probability, 0.00015, 0.08))
+    probability = reduce(lambda product, factor: product * factor, factors, F.lit(fixed.BASE_FRAUD_RATE))
+    return _within(probability, fixed.FRAUD_PROBABILITY_RANGE)
 
 
 def approval_scorecard(
@@ -166,37 +170,37 @@ def approval_scorecard(
     category_delta: dict[str, float] = CATEGORY_APPROVAL_DELTA,
 ) -> Column:
     """Expected probability of approval: a base rate and a sum of deltas, within bounds."""
+    def when(condition: Column, delta: float, otherwise: float = 0.0) -> Column:
+        return F.when(condition, delta).otherwise(otherwise)
+
     deltas = [
         lookup(category, category_delta),
-        F.when(channel == "card_present", 0.012).otherwise(-0.004),
-        F.when(is_cross_border, -0.030).otherwise(0.0),
-        F.when(customer_risk == "High", -0.050).otherwise(0.0),
-        F.when(merchant_risk == "High", -0.035).otherwise(0.0),
-        F.when(amount_usd >= 750, -0.025).otherwise(0.0),
-        F.when(is_fraud, -0.30).otherwise(0.0),
+        when(channel == "card_present", fixed.CARD_PRESENT_APPROVAL_DELTA, fixed.REMOTE_APPROVAL_DELTA),
+        when(is_cross_border, fixed.CROSS_BORDER_APPROVAL_DELTA),
+        when(customer_risk == "High", fixed.HIGH_RISK_CUSTOMER_APPROVAL_DELTA),
+        when(merchant_risk == "High", fixed.HIGH_RISK_MERCHANT_APPROVAL_DELTA),
+        when(amount_usd >= fixed.LARGE_AMOUNT_USD, fixed.LARGE_AMOUNT_APPROVAL_DELTA),
+        when(is_fraud, fixed.FRAUD_APPROVAL_DELTA),
     ]
-    probability = F.lit(BASE_APPROVAL_RATE)
-    for delta in deltas:
-        probability = probability + delta
-    return F.when(probability.isNotNull(), clip(probability, 0.45, 0.995))
+    probability = reduce(lambda total, delta: total + delta, deltas, F.lit(fixed.BASE_APPROVAL_RATE))
+    return _within(probability, fixed.APPROVAL_PROBABILITY_RANGE)
 
 
 def cross_border_propensity(
     customer_segment: Column, channel: Column, segment_rate: dict[str, float] = SEGMENT_CROSS_BORDER_RATE
 ) -> Column:
-    uplift = F.when(channel.isin("web", "in_app"), 0.025).otherwise(0.0)
-    probability = lookup(customer_segment, segment_rate) + uplift
-    return F.when(probability.isNotNull(), clip(probability, 0.02, 0.60))
+    uplift = F.when(channel.isin(fixed.DIGITAL_CHANNELS), fixed.DIGITAL_CROSS_BORDER_UPLIFT).otherwise(0.0)
+    return _within(lookup(customer_segment, segment_rate) + uplift, fixed.CROSS_BORDER_PROBABILITY_RANGE)
 
 
 def expected_processing_time(is_cross_border: Column, payment_method: Column, channel: Column) -> Column:
     time = (
-        F.lit(420.0)
-        * F.when(is_cross_border, 1.20).otherwise(1.0)
-        * F.when(payment_method == "bank_transfer", 1.45).otherwise(1.0)
-        * F.when(channel == "web", 1.08).otherwise(1.0)
+        F.lit(fixed.TYPICAL_PROCESSING_MS)
+        * F.when(is_cross_border, fixed.CROSS_BORDER_TIME_FACTOR).otherwise(1.0)
+        * F.when(payment_method == "bank_transfer", fixed.BANK_TRANSFER_TIME_FACTOR).otherwise(1.0)
+        * F.when(channel == "web", fixed.WEB_TIME_FACTOR).otherwise(1.0)
     )
-    return F.rint(clip(time, 90, 5000)).cast("int")
+    return F.rint(clip(time, *fixed.PROCESSING_TIME_RANGE_MS)).cast("int")
 
 
 def fraud_loss(amount_usd: Column, loss_fraction: Column, is_fraud: Column, status: Column) -> Column:

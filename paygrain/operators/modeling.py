@@ -237,7 +237,7 @@ def fit_gbt(train: DataFrame, max_iter: int = 250, tolerance: float = 0.0) -> Pi
     rows = model_columns(train).persist()
     try:
         modes = most_frequent(rows, CATEGORICAL_FEATURES)
-        levels = rows.agg(*[F.count_distinct(c).alias(c) for c in CATEGORICAL_FEATURES]).first()
+        levels = rows.agg(*[F.size(F.collect_set(c)).alias(c) for c in CATEGORICAL_FEATURES]).first()
         bins = max(64, max(levels) + 1)  # a nominal split needs a bin per level and one for unknown
         return boosting_pipeline(modes, max_iter, bins, tolerance).fit(
             balanced_weights(rows).withColumn("held_out", held_out)

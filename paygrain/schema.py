@@ -116,16 +116,6 @@ def table_schema(name: str) -> T.StructType:
 APPROVED = "approved"
 DECLINED = "declined"
 STATUSES = [APPROVED, DECLINED]
-CHANNELS = ["card_present", "web", "in_app"]
-PAYMENT_METHODS = ["credit_card", "debit_card", "digital_wallet", "bank_transfer"]
-DECLINE_REASONS = [
-    "insufficient_funds",
-    "do_not_honor",
-    "suspected_fraud",
-    "expired_card",
-    "issuer_unavailable",
-    "limit_exceeded",
-]
 PROCESSING_TIME_RANGE_MS = (90, 5000)
 PLAUSIBLE_RATES = {
     "approval rate": ("approval_rate", 0.80, 0.99),
@@ -171,6 +161,29 @@ SEGMENT_CROSS_BORDER_RATE = {
 CUSTOMER_RISK_FACTOR = {"Low": 0.75, "Medium": 1.45, "High": 3.00}
 MERCHANT_RISK_FACTOR = {"Low": 0.80, "Medium": 1.25, "High": 1.90}
 TIER_BY_SIZE = {"Small": "Standard", "Medium": "Growth", "Large": "Strategic", "Enterprise": "Strategic"}
+RISK_RATING_FROM = {"High": 1.45, "Medium": 1.10}
+NIGHT_HOURS_UNTIL, NIGHT_HOURS_FROM = 5, 23
+LARGE_AMOUNT_USD, MEDIUM_AMOUNT_USD = 750, 300
+NIGHT_FRAUD_FACTOR = 1.45
+CROSS_BORDER_FRAUD_FACTOR = 1.75
+CARD_PRESENT_FRAUD_FACTOR, REMOTE_FRAUD_FACTOR = 0.72, 1.28
+LARGE_AMOUNT_FRAUD_FACTOR, MEDIUM_AMOUNT_FRAUD_FACTOR = 1.65, 1.25
+FRAUD_PROBABILITY_RANGE = (0.00015, 0.08)
+CARD_PRESENT_APPROVAL_DELTA, REMOTE_APPROVAL_DELTA = 0.012, -0.004
+CROSS_BORDER_APPROVAL_DELTA = -0.030
+HIGH_RISK_CUSTOMER_APPROVAL_DELTA = -0.050
+HIGH_RISK_MERCHANT_APPROVAL_DELTA = -0.035
+LARGE_AMOUNT_APPROVAL_DELTA = -0.025
+FRAUD_APPROVAL_DELTA = -0.30
+APPROVAL_PROBABILITY_RANGE = (0.45, 0.995)
+DIGITAL_CHANNELS = ["web", "in_app"]
+DIGITAL_CROSS_BORDER_UPLIFT = 0.025
+CROSS_BORDER_PROBABILITY_RANGE = (0.02, 0.60)
+TYPICAL_PROCESSING_MS = 420.0
+CROSS_BORDER_TIME_FACTOR = 1.20
+BANK_TRANSFER_TIME_FACTOR = 1.45
+WEB_TIME_FACTOR = 1.08
+SMALLEST_LOCAL_AMOUNT = 0.01
 MONTH_FACTOR = {
     1: 0.90, 2: 0.92, 3: 0.98, 4: 1.00, 5: 1.02, 6: 1.05,
     7: 1.08, 8: 1.07, 9: 1.00, 10: 1.06, 11: 1.18, 12: 1.28,
