@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 
 def transaction_date(fact: DataFrame) -> Column:
@@ -32,9 +33,14 @@ def month_bit(day: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(_month_number(day), F.lit(64)))
 
 
-def epoch_second() -> Column:
-    """Whole seconds since the epoch; accepts timestamps with and without a zone."""
-    return F.unix_timestamp("transaction_timestamp")
+def epoch_second(fact: DataFrame) -> Column:
+    """Whole seconds since the epoch. A timestamp without a zone is taken as it stands, so that
+    the session's zone and its clock changes do not move it."""
+    stamp = F.col("transaction_timestamp")
+    without_zone = isinstance(fact.schema["transaction_timestamp"].dataType, TimestampNTZType)
+    if without_zone and fact.sparkSession.conf.get("spark.sql.session.timeZone") != "UTC":
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), stamp)
+    return F.unix_timestamp(stamp)  # the same in UTC, and cheaper
 
 
 def months_of_tenure(since: Column, reference: Column) -> Column:

@@ -77,16 +77,16 @@ def _literal_array(values: list[int]) -> Column:
 
 def _per_range(rows: DataFrame, ranges: dict[str, Column], totals: dict[str, Column]) -> dict:
     """Totals of every range of every ordering, from one pass; a few thousand rows at most."""
-    tagged = [
-        F.struct(F.lit(name).alias("name"), number.cast("int").alias("range"))
-        for name, number in ranges.items()
+    aggregates = [total.alias(out) for out, total in totals.items()]
+    if len(ranges) == 1:
+        ((name, number),) = ranges.items()
+        counted = rows.groupBy(number.cast("int").alias("_range")).agg(*aggregates)
+        return {(name, row["_range"]): row for row in counted.collect()}
+    tags = [
+        F.struct(F.lit(name).alias("_name"), number.cast("int").alias("_range")) for name, number in ranges.items()
     ]
-    counted = (
-        rows.select(F.explode(F.array(*tagged)).alias("_tag"), "*")
-        .groupBy("_tag.name", "_tag.range")
-        .agg(*[total.alias(out) for out, total in totals.items()])
-    )
-    return {(row["name"], row["range"]): row for row in counted.collect()}
+    counted = rows.select("*", F.inline(F.array(*tags))).groupBy("_name", "_range").agg(*aggregates)
+    return {(row["_name"], row["_range"]): row for row in counted.collect()}
 
 
 def _offsets(found: dict, name: str, out: str, ranges: int) -> list[int]:

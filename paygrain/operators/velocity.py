@@ -32,7 +32,7 @@ def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
     slice_seconds = SLICE_REACHES * reach
     second = F.col("second")
     per_second = (
-        fact.select("customer_id", epoch_second().alias("second"), cents("transaction_amount_usd").alias("c"))
+        fact.select("customer_id", epoch_second(fact).alias("second"), cents("transaction_amount_usd").alias("c"))
         .groupBy("customer_id", "second")
         .agg(F.count(F.lit(1)).alias("n"), F.count("c").alias("valued"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
     )
@@ -66,5 +66,5 @@ def with_trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
     totals = trailing_totals(fact, windows)
     names = totals.columns[2:]
     totals = totals.withColumnsRenamed({"customer_id": "_customer", "second": "_second"})
-    same = F.col("customer_id").eqNullSafe(F.col("_customer")) & epoch_second().eqNullSafe(F.col("_second"))
+    same = F.col("customer_id").eqNullSafe(F.col("_customer")) & epoch_second(fact).eqNullSafe(F.col("_second"))
     return fact.join(totals, same, "inner").select(*fact.columns, *names)

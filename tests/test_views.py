@@ -30,6 +30,22 @@ def test_velocity_window_is_inclusive_and_sees_same_second_peers(payments):
     assert [r.customer_value_usd_24h for r in rows] == [1.0, 3.0, 15.0, 15.0]
 
 
+def test_velocity_does_not_depend_on_the_zone_of_the_session(spark, payments):
+    """Half past one and half past three on the night New York skips an hour."""
+    fact = payments(
+        {"transaction_timestamp": datetime(2025, 3, 9, 1, 30)}, {"transaction_timestamp": datetime(2025, 3, 9, 3, 0)}
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        rows = views.transaction_velocity(fact).orderBy("transaction_id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r.customer_transactions_1h for r in rows] == [1, 1]
+    zoned = fact.withColumn("transaction_timestamp", F.col("transaction_timestamp").cast("timestamp"))
+    assert [r.customer_transactions_24h for r in views.transaction_velocity(zoned).collect()] in ([1, 2], [2, 1])
+
+
 @pytest.mark.parametrize(
     ("count", "band"), [(4, "Normal Velocity"), (5, "Elevated Velocity"), (7, "Elevated Velocity"), (8, "High Velocity")]
 )
