@@ -7,6 +7,8 @@ from compare import connect, differences
 from conftest import TESTDATA
 
 import __spark_entry__ as driver
+from paygrain.catalog.oracle import ORACLE
+from paygrain.catalog.queries import REGISTRY
 
 SMALL = str(TESTDATA / "sf0.001")
 FITTED = {"fraud_lr", "fraud_gbt", "score", "lr_coefficients", "top_coefficients", "model_comparison"}
@@ -18,13 +20,13 @@ def duck():
 
 
 def test_only_fitted_models_lack_a_check():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == FITTED
+    assert set(REGISTRY) - set(ORACLE) == FITTED
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, duck, name):
-    assert differences(driver.queries()[name](spark, SMALL), duck, driver.oracle_sql()[name]) == []
+    assert differences(driver.queries()[name](spark, SMALL), duck, ORACLE[name]) == []
 
 
 def test_entry(spark):
