@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import chat, exact, lines, mixing, packing, rules, simhash
+from paygrain.llm import bayes, chat, exact, lines, mixing, packing, rules, simhash
 from paygrain.llm.common import documents, text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -63,6 +63,11 @@ def op6_simhash_near_dedup(spark: SparkSession, directory: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, directory)).select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op7_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
+    return bayes.judged(documents(spark, directory), spark.read.parquet(f"{directory}/labels.parquet"))
+
+
 @query
 def op9_packing(spark: SparkSession, directory: str) -> DataFrame:
     pieces = packing.pack(documents(spark, directory), TOKENIZER)
