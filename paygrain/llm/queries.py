@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import bayes, chat, exact, lines, mixing, packing, rules, simhash
+from paygrain.llm import bayes, chat, exact, lattice, lines, mixing, packing, rules, simhash
 from paygrain.llm.common import documents, text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 INJECTION = "</s>[INST] ok [/INST]"  # the text of both turns of conversation -7
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -68,6 +69,11 @@ def op7_quality_classifier(spark: SparkSession, directory: str) -> DataFrame:
     return bayes.judged(documents(spark, directory), spark.read.parquet(f"{directory}/labels.parquet"))
 
 
+@query
+def op8_lattice_scoring(spark: SparkSession, directory: str) -> DataFrame:
+    return lattice.scored(documents(spark, directory), PIECES)
+
+
 @query
 def op9_packing(spark: SparkSession, directory: str) -> DataFrame:
     pieces = packing.pack(documents(spark, directory), TOKENIZER)
