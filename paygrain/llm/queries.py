@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import bayes, chat, exact, lattice, lines, mixing, packing, rules, simhash
+from paygrain.llm import bayes, chat, exact, extraction, lattice, lines, mixing, packing, rules, simhash
 from paygrain.llm.common import documents, text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,12 @@ def query(build):
     return build
 
 
+@query
+def op1_html_extraction(spark: SparkSession, directory: str) -> DataFrame:
+    pages = spark.read.parquet(f"{directory}/pages.parquet")
+    return extraction.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op2_quality_rules(spark: SparkSession, directory: str) -> DataFrame:
     return rules.judged(documents(spark, directory))
