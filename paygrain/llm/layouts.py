@@ -126,11 +126,13 @@ class Layouts:
         else:
             size = int(self.rng.integers(1, 4))
             items = [f"<p>{self.words(3, 45)}</p>" for _ in range(size)]
+        if kind not in ("menu", "share") and self.rng.random() < 0.35:
+            items.insert(0, f"<{(h := self.pick(('h1', 'h2', 'h3', 'h4')))}>{self.words(1, 6)}</{h}>")
         if kind == "footer" and self.rng.random() < 0.7:
             items.append(f"<p>&copy; {self.words(1, 6)}</p>")
         if len(items) == 1 and self.rng.random() < 0.5:
             items = [self.words(3, 30)]
-        if element.startswith("ul") and not items[0].startswith("<ul>"):
+        if element.startswith(("ul", "ol")) and not any(i.startswith("<ul>") for i in items):
             items = [f"<li>{i}</li>" for i in items]
         whole = self.inside(element, "\0".join(items)).split("\0")
         return [(w, 0) for w in whole]
