@@ -1,7 +1,7 @@
 """Check SQL of the named queries, written for DuckDB over the same test tables.
 
 The mapping to the star schema is shared text (it is input, not result); every report is
-stated again in plain SQL. Money is summed as DECIMAL(18,2), rates are doubles.
+stated again in plain SQL. Money is summed as DECIMAL(18,6), rates are doubles.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ def plain(name: str, body: str) -> None:
 
 
 def usd(column: str) -> str:
-    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+    return f"CAST(sum(CAST({column} AS DECIMAL(18,6))) AS DOUBLE)"
 
 
 def rate(condition: str) -> str:
@@ -40,7 +40,7 @@ VALUE = usd("transaction_amount_usd")
 LOSS = usd("fraud_loss_amount_usd")
 AVG_VALUE = f"{VALUE} / count(transaction_amount_usd)"
 APPROVED_VALUE = (
-    "CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,2))) FILTER (WHERE transaction_status = 'approved') AS DOUBLE)"
+    "CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,6))) FILTER (WHERE transaction_status = 'approved') AS DOUBLE)"
 )
 APPROVED, DECLINED = "transaction_status = 'approved'", "transaction_status = 'declined'"
 DAY = "CAST(transaction_timestamp AS DATE)"
@@ -172,9 +172,9 @@ timed AS (SELECT *, CAST(floor(epoch(transaction_timestamp)) AS BIGINT) AS epoch
 rolling AS (
   SELECT {FACT_LIST},
     count(*) OVER {_trailing(3600)} AS customer_transactions_1h,
-    CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,2))) OVER {_trailing(3600)} AS DOUBLE) AS customer_value_usd_1h,
+    CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,6))) OVER {_trailing(3600)} AS DOUBLE) AS customer_value_usd_1h,
     count(*) OVER {_trailing(86400)} AS customer_transactions_24h,
-    CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,2))) OVER {_trailing(86400)} AS DOUBLE)
+    CAST(sum(CAST(transaction_amount_usd AS DECIMAL(18,6))) OVER {_trailing(86400)} AS DOUBLE)
       AS customer_value_usd_24h
   FROM timed
 ),
@@ -201,7 +201,7 @@ baselines AS (
   SELECT *, count(*) OVER {BEFORE} AS baseline_observations,
     avg(transaction_count) OVER {BEFORE} AS baseline_transaction_count,
     stddev_samp(transaction_count) OVER {BEFORE} AS baseline_transaction_count_sd,
-    CAST(sum(CAST(transaction_value_usd AS DECIMAL(18,2))) OVER {BEFORE} AS DOUBLE)
+    CAST(sum(CAST(transaction_value_usd AS DECIMAL(18,6))) OVER {BEFORE} AS DOUBLE)
       / nullif(count(transaction_value_usd) OVER {BEFORE}, 0) AS baseline_transaction_value_usd,
     stddev_samp(transaction_value_usd) OVER {BEFORE} AS baseline_transaction_value_sd,
     avg(approval_rate) OVER {BEFORE} AS baseline_approval_rate,
@@ -773,8 +773,8 @@ SELECT merchant_priority_segment, merchants, transaction_value_usd, fraud_loss_u
   round(fraud_loss_usd / sum(fraud_loss_usd) OVER (), 9) AS share_of_fraud_loss
 FROM (
   SELECT merchant_priority_segment, count(*) AS merchants,
-    CAST(sum(CAST(transaction_value_usd AS DECIMAL(18,2))) AS DOUBLE) AS transaction_value_usd,
-    CAST(sum(CAST(fraud_loss_usd AS DECIMAL(18,2))) AS DOUBLE) AS fraud_loss_usd,
+    CAST(sum(CAST(transaction_value_usd AS DECIMAL(18,6))) AS DOUBLE) AS transaction_value_usd,
+    CAST(sum(CAST(fraud_loss_usd AS DECIMAL(18,6))) AS DOUBLE) AS fraud_loss_usd,
     avg(approval_rate) AS average_approval_rate,
     CAST(sum(approved) AS BIGINT) / CAST(sum(transaction_count) AS BIGINT) AS weighted_approval_rate
   FROM merchant_view JOIN approvals USING (merchant_id) GROUP BY 1

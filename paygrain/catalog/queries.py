@@ -208,7 +208,7 @@ def season_weights(s: Star) -> DataFrame:
 
 @query
 def market_share(s: Star) -> DataFrame:
-    value = measure(s.lineitem, "country_id").select("country_id", dollars("value_cents").alias("value_usd"))
+    value = measure(s.lineitem, "country_id").select("country_id", dollars("value_total").alias("value_usd"))
     return rounded(enrich.market_share(value, "value_usd"), 12, "market_weight")
 
 

@@ -1,8 +1,9 @@
 """Null-safe ratios and exact money arithmetic.
 
-Amounts carry two decimals. Inside an aggregation they are whole cents in a bigint: the sum is
-exact, does not depend on the order in which partitions arrive, stays in generated code, and
-raises (ANSI mode) rather than wraps if it ever overflows.
+Inside an aggregation amounts are decimals with ``MONEY_DIGITS`` digits after the point, finer
+than any currency in use and four more than a cent: their sums are exact, do not depend on the
+order in which partitions arrive, and raise (ANSI mode) rather than wrap. An amount with more
+digits than that is rounded; ``finer_than_money`` finds such rows and a critical check counts them.
 """
 
 from __future__ import annotations
@@ -10,15 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MONEY_DIGITS = 6
+NOISE = 1e-9  # of an amount: what binary fractions leave where decimal digits end
 
-def cents(amount: str | Column) -> Column:
+
+def exact(amount: str | Column, digits: int = MONEY_DIGITS) -> Column:
     column = F.col(amount) if isinstance(amount, str) else amount
-    return F.round(column * 100).cast("bigint")
+    return column.cast(f"decimal(18,{digits})")
+
 
+def dollars(total: str | Column) -> Column:
+    column = F.col(total) if isinstance(total, str) else total
+    return column.cast("double")
 
-def dollars(total_cents: str | Column) -> Column:
-    column = F.col(total_cents) if isinstance(total_cents, str) else total_cents
-    return column / F.lit(100)
+
+def finer_than_money(amount: str | Column, digits: int = MONEY_DIGITS) -> Column:
+    """Whether an amount has digits that an exact sum would lose."""
+    column = F.col(amount) if isinstance(amount, str) else amount
+    return F.abs(column - dollars(exact(column, digits))) > NOISE * F.greatest(F.lit(1.0), F.abs(column))
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:

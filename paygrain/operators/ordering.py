@@ -1,200 +1,152 @@
 """Exact global ranks, positions and running totals without putting all rows into one task.
 
-A window without PARTITION BY moves every row to a single task. Here the rows are first cut
-into ranges of the sort key. The cut points are literals taken from a sorted sample, so a row
-falls into the same range whenever and wherever it is evaluated. Windows then run inside the
-ranges, and the totals of the lower ranges are added as a literal offset.
+A window without PARTITION BY moves every row to a single task. Here Spark partitions the rows
+by ranges of the sort key followed by a hash of the row, which cuts equal keys into as many
+ranges as they need: a value held by a third of all rows does no harm. Windows run inside the
+ranges. What the lower ranges add is worked out from one row per range and joined to the rows as
+a small table; a run of equal keys that goes on from the range before keeps its rank.
 
-A key that equals a cut point gets a range of its own. All its rows are ties, so they need no
-sort and are spread over many tasks: a value held by a third of all rows does no harm.
+There is one path for every size. The number of ranges is that of the session's shuffle
+partitions, of which adaptive execution merges the small ones, unless ``ranges`` is given.
+
+Results are snapshots: placing the rows runs jobs when the function is called, and the placed
+rows are kept in the checkpoint folder.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.session import materialise
 
-ROWS_PER_TASK = 500_000
-MAX_RANGES = 10_000
-SAMPLES_PER_RANGE = 64
-TIE_SPREAD = 256
-
-
-def _range_count(n: int, rows_per_task: int) -> int:
-    return min(MAX_RANGES, -(-n // rows_per_task))
-
+RANGE, OFFSET = "_range", "_offset"
 
-def _sort_key(order: list[Column]) -> Column:
-    return F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
 
+def _placed(rows: DataFrame, order: list[Column], ranges: int | None, made: dict[str, Column]) -> DataFrame:
+    """``rows`` with the number of their range and the columns ``made`` in windows inside it, stored.
 
-def _cut_points(rows: DataFrame, key: Column, n: int, ranges: int) -> list:
-    """Distinct key values that cut ``rows`` into about ``ranges`` equal parts.
-
-    The sample only places the cuts. Its expected size is ``SAMPLES_PER_RANGE * ranges``,
-    whatever the number of rows.
+    Ranges hold at least one row and are numbered in the order of their keys.
     """
-    fraction = min(1.0, SAMPLES_PER_RANGE * ranges / n)
-    sample = rows.select(key.alias("key")).sample(fraction=fraction, seed=17).orderBy("key").collect()
-    step = max(1, len(sample) // ranges)
-    cuts: list = []
-    for row in sample[step::step]:
-        if not cuts or cuts[-1] != row.key:
-            cuts.append(row.key)
-    return cuts
+    spread = F.xxhash64(*rows.columns)
+    parts = [] if ranges is None else [ranges]
+    placed = rows.repartitionByRange(*parts, *order, spread).withColumn(RANGE, F.spark_partition_id())
+    # Stored before it is shuffled by range, so that a repeated task cannot number rows anew.
+    return materialise(materialise(placed).withColumns(made))
+
+
+def _with_offsets(rows: DataFrame, offsets: dict[int, tuple], names: list[str]) -> DataFrame:
+    """Join figures per range; their table has one row per shuffle partition at most."""
+    kinds = ", ".join(f"{name} bigint" for name in names)
+    table = rows.sparkSession.createDataFrame(
+        [(number, *values) for number, values in offsets.items()], f"{RANGE} int, {kinds}"
+    )
+    return rows.join(F.broadcast(table), RANGE)
 
 
-def _range_number(rows: DataFrame, key: Column, cuts: list) -> Column:
-    """Even numbers for keys between cuts, odd numbers for keys equal to a cut.
+def _inside(order: list[Column]) -> Window:
+    return Window.partitionBy(RANGE).orderBy(*order)
 
-    The sorted cuts are looked up in two steps, block and place in block, which takes about
-    twice the square root of their number in comparisons.
-    """
-    if not cuts:
-        return F.lit(0)
-    kind = rows.select(key.alias("key")).schema["key"].dataType.simpleString()
-    size = isqrt(len(cuts) - 1) + 1
-    literals = [F.struct(*[F.lit(value) for value in cut]) for cut in cuts]
-    blocks = [F.array(*literals[i : i + size]) for i in range(0, len(literals), size)]
-    last = F.array(*[literals[min(i + size, len(literals)) - 1] for i in range(0, len(literals), size)])
-    last = last.cast(f"array<{kind}>")
-    blocks_below = F.size(F.filter(last, lambda cut: cut < key))
-    block = F.coalesce(
-        F.get(F.array(*blocks).cast(f"array<array<{kind}>>"), blocks_below), F.array().cast(f"array<{kind}>")
-    )
-    below = F.least(blocks_below * size, F.lit(len(cuts))) + F.size(F.filter(block, lambda cut: cut < key))
-    return 2 * below + F.array_contains(block, key).cast("int")
 
+def _running(found: list, out: str) -> dict[int, int]:
+    """Total of all ranges below each range."""
+    offsets, total = {}, 0
+    for row in found:
+        offsets[row[RANGE]] = total
+        total += row[out] or 0
+    return offsets
 
-def _literal_array(values: list[int]) -> Column:
-    return F.expr("array(" + ", ".join(f"{value}L" for value in values) + ")")
 
+def _same(key, other) -> bool:
+    """Equality as in sorting, where a NaN equals a NaN."""
+    return key == other or (other is not None and repr(key) == repr(other))
 
-def _per_range(rows: DataFrame, ranges: dict[str, Column], totals: dict[str, Column]) -> dict:
-    """Totals of every range of every ordering, from one pass; a few thousand rows at most."""
-    aggregates = [total.alias(out) for out, total in totals.items()]
-    if len(ranges) == 1:
-        ((name, number),) = ranges.items()
-        counted = rows.groupBy(number.cast("int").alias("_range")).agg(*aggregates)
-        return {(name, row["_range"]): row for row in counted.collect()}
-    tags = [
-        F.struct(F.lit(name).alias("_name"), number.cast("int").alias("_range")) for name, number in ranges.items()
-    ]
-    counted = rows.select("*", F.inline(F.array(*tags))).groupBy("_name", "_range").agg(*aggregates)
-    return {(row["_name"], row["_range"]): row for row in counted.collect()}
 
-
-def _offsets(found: dict, name: str, out: str, ranges: int) -> list[int]:
-    """Total of all ranges below each range."""
-    offsets, running = [], 0
-    for number in range(ranges):
-        offsets.append(running)
-        row = found.get((name, number))
-        running += (row[out] or 0) if row else 0
-    return offsets
+def _per_range(rows: DataFrame, *totals: Column) -> list:
+    return rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"), *totals).orderBy(RANGE).collect()
 
 
 def with_global_ranks(
-    rows: DataFrame, orders: dict[str, list[Column]], rows_per_task: int = ROWS_PER_TASK
+    rows: DataFrame, orders: dict[str, list[Column]], ranges: int | None = None
 ) -> tuple[DataFrame, int]:
     """Add one ``rank()`` column per entry of ``orders`` and return it with the row count.
 
     An order is a list of columns to sort ascending, nulls first; equal keys share the lowest
-    rank. ``rows`` is computed once and kept in the checkpoint folder.
+    rank.
     """
-    rows = materialise(rows)
-    columns = rows.columns
-    n = rows.count()
-    ranges = _range_count(n, rows_per_task)
-    if ranges <= 1:
-        ranked = {
-            name: F.rank().over(Window.orderBy(*order)).cast("bigint") for name, order in orders.items()
-        }
-        return rows.withColumns(ranked), n
-
-    keys = {name: _sort_key(order) for name, order in orders.items()}
-    cuts = {name: _cut_points(rows, key, n, ranges) for name, key in keys.items()}
-    numbers = {name: _range_number(rows, keys[name], cuts[name]) for name in orders}
-    found = _per_range(rows, numbers, {"n": F.count(F.lit(1))})
+    n = None
     for name, order in orders.items():
-        offsets = _literal_array(_offsets(found, name, "n", 2 * len(cuts[name]) + 1))
-        is_tie = F.col("_range") % 2 == 1
-        spread = F.when(is_tie, F.pmod(F.xxhash64(*columns), F.lit(TIE_SPREAD))).otherwise(0)
-        window = Window.partitionBy("_range", "_spread").orderBy(*order)
-        rows = (
-            rows.withColumn("_range", numbers[name])
-            .withColumn("_spread", spread)
-            .withColumn(name, F.rank().over(window) + F.get(offsets, F.col("_range")))
-            .drop("_range", "_spread")
+        key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
+        placed = _placed(rows, order, ranges, {name: F.rank().over(_inside(order)).cast("bigint")})
+        found = _per_range(
+            placed, F.min(F.struct(key.alias("key"))).alias("_first"), F.max(F.struct(key.alias("key"), name)).alias("_last")
         )
-    return rows, n
+        below = _running(found, "_n")
+        offsets, previous, started = {}, None, 0
+        for row in found:
+            number = row[RANGE]
+            # The rank of the range's first key: that of the run it goes on with, or a new one.
+            first = started if _same(row["_first"]["key"], previous) else below[number] + 1
+            last_rank = row["_last"][name]
+            started = first if last_rank == 1 else below[number] + last_rank
+            previous = row["_last"]["key"]
+            offsets[number] = (below[number], first)
+        ranked = F.when(F.col(name) == 1, F.col("_first")).otherwise(F.col(name) + F.col(OFFSET))
+        rows = _with_offsets(placed, offsets, [OFFSET, "_first"]).withColumn(name, ranked)
+        rows = rows.drop(RANGE, OFFSET, "_first")
+        n = sum(row["_n"] for row in found)
+    return rows, rows.count() if n is None else n
+
+
+def with_positions(
+    rows: DataFrame, order: list[Column], name: str, ranges: int | None = None
+) -> tuple[DataFrame, int]:
+    """Add the 1-based position of every row in the given order; equal keys go by a hash of the row."""
+    spread = F.xxhash64(*rows.columns)
+    placed = _placed(rows, order, ranges, {name: F.row_number().over(_inside([*order, spread])).cast("bigint")})
+    found = _per_range(placed)
+    offsets = {number: (total,) for number, total in _running(found, "_n").items()}
+    positioned = _with_offsets(placed, offsets, [OFFSET]).withColumn(name, F.col(name) + F.col(OFFSET))
+    return positioned.drop(RANGE, OFFSET), sum(row["_n"] for row in found)
 
 
-def keys_at(
-    rows: DataFrame, order: list[Column], positions: list[int], rows_per_task: int = ROWS_PER_TASK
-) -> list:
+def keys_at(rows: DataFrame, order: list[Column], positions: list[int], ranges: int | None = None) -> list:
     """The sort keys at the given 1-based positions of the sorted rows, one per position.
 
-    Only the ranges that hold a position are sorted; the rest are merely counted. ``rows`` is
-    read a few times, so pass a stored table or something cheap to recompute.
+    A position beyond the last row has the last key. Only the rows at the positions are returned.
     """
-    keyed = rows.select(_sort_key(order).alias("key"))
-    key = F.col("key")
-    n = keyed.count()
-    ranges = _range_count(n, rows_per_task)
-    cuts = _cut_points(keyed, key, n, ranges) if ranges > 1 else []
-    number = _range_number(keyed, key, cuts)
-    numbered = keyed.withColumn("range", number)
-    found = _per_range(keyed, {"all": number}, {"n": F.count(F.lit(1))}) if cuts else {}
-    offsets = _offsets(found, "all", "n", 2 * len(cuts) + 1)
-    place = {p: max(i for i, offset in enumerate(offsets) if offset < p) for p in positions}
-    answer = {p: cuts[i // 2] for p, i in place.items() if i % 2}
-    inside = {p: i for p, i in place.items() if i % 2 == 0}
-    if inside:
-        rank = F.row_number().over(Window.partitionBy("range").orderBy("key"))
-        wanted = [(F.col("range") == i) & (F.col("rank") == p - offsets[i]) for p, i in inside.items()]
-        hits = (
-            numbered.where(F.col("range").isin(list(inside.values())))
-            .withColumn("rank", rank)
-            .where(reduce(lambda left, right: left | right, wanted))
-            .collect()
-        )
-        located = {(hit["range"], hit["rank"]): hit["key"] for hit in hits}
-        answer.update({p: located[(i, p - offsets[i])] for p, i in inside.items()})
-    return [answer[p] for p in positions]
+    key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
+    # Equal keys are interchangeable here, so a random number spreads them as well as a hash.
+    keyed = rows.select(key.alias("key"), F.monotonically_increasing_id().alias("_row"))
+    fields = [F.col("key")[f"k{i}"] for i in range(len(order))]
+    placed = _placed(keyed, fields, ranges, {"_place": F.row_number().over(_inside([*fields, F.col("_row")]))})
+    found = _per_range(placed)
+    below, n = _running(found, "_n"), sum(row["_n"] for row in found)
+    place = {p: max(r for r, total in below.items() if total < min(p, n)) for p in positions}
+    wanted = [(F.col(RANGE) == r) & (F.col("_place") == min(p, n) - below[r]) for p, r in place.items()]
+    hits = placed.where(reduce(lambda left, right: left | right, wanted)).collect() if wanted else []
+    located = {(hit[RANGE], hit["_place"]): hit["key"] for hit in hits}
+    return [located[place[p], min(p, n) - below[place[p]]] for p in positions]
 
 
 def with_running_totals(
-    rows: DataFrame, order: list[Column], totals: dict[str, str], rows_per_task: int = ROWS_PER_TASK
+    rows: DataFrame, order: list[Column], totals: dict[str, str], ranges: int | None = None
 ) -> tuple[DataFrame, dict[str, int]]:
     """Add inclusive running sums of bigint columns over rows with distinct sort keys.
 
     ``totals`` maps a new column to the column it accumulates. Also returns the grand totals.
     """
-    rows = materialise(rows)
-    sums = {out: F.sum(column) for out, column in totals.items()}
-    grand = rows.agg(F.count(F.lit(1)).alias("_n"), *[s.alias(out) for out, s in sums.items()]).first()
-    ranges = _range_count(grand["_n"], rows_per_task)
-    grand_totals = {out: grand[out] or 0 for out in totals}
-    if ranges <= 1:
-        window = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumns({out: F.sum(c).over(window) for out, c in totals.items()}), grand_totals
-
-    key = _sort_key(order)
-    cuts = _cut_points(rows, key, grand["_n"], ranges)
-    number = _range_number(rows, key, cuts)
-    found = _per_range(rows, {"all": number}, sums)
-    window = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    running = {}
-    for out, column in totals.items():
-        offsets = _literal_array(_offsets(found, "all", out, 2 * len(cuts) + 1))
-        running[out] = F.sum(column).over(window) + F.get(offsets, F.col("_range"))
-    return rows.withColumn("_range", number).withColumns(running).drop("_range"), grand_totals
+    window = _inside(order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = _placed(rows, order, ranges, {out: F.sum(column).over(window) for out, column in totals.items()})
+    found = _per_range(placed, *[F.sum(column).alias(out) for out, column in totals.items()])
+    names = {out: f"_{out}" for out in totals}
+    below = {out: _running(found, out) for out in totals}
+    offsets = {row[RANGE]: tuple(below[out][row[RANGE]] for out in totals) for row in found}
+    summed = _with_offsets(placed, offsets, list(names.values()))
+    summed = summed.withColumns({out: F.col(out) + F.col(offset) for out, offset in names.items()})
+    return summed.drop(RANGE, *names.values()), {out: sum(row[out] or 0 for row in found) for out in totals}
 
 
 def percent_rank(rank: str, n: int) -> Column:
@@ -217,15 +169,11 @@ def ntile(rank: str, n: int, tiles: int) -> Column:
 
 
 def dense_ids(
-    rows: DataFrame,
-    order: list[Column],
-    start: int = 1,
-    name: str = "dense_id",
-    rows_per_task: int = ROWS_PER_TASK,
+    rows: DataFrame, order: list[Column], start: int = 1, name: str = "dense_id", ranges: int | None = None
 ) -> DataFrame:
-    """Contiguous ids from ``start`` in the given (unique) order."""
-    ranked, _ = with_global_ranks(rows, {name: order}, rows_per_task)
-    return ranked.withColumn(name, F.col(name) + (start - 1))
+    """Contiguous ids from ``start`` in the given order; equal keys go by a hash of the row."""
+    positioned, _ = with_positions(rows, order, name, ranges)
+    return positioned.withColumn(name, F.col(name) + (start - 1))
 
 
 def share_of_total(rows: DataFrame, column: str | Column, name: str) -> DataFrame:

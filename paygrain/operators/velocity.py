@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import epoch_second
-from paygrain.functions.money import cents, dollars
+from paygrain.functions.money import dollars, exact
 
 SLICE_REACHES = 8  # slice length, in multiples of the longest window
 
@@ -25,14 +25,14 @@ def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
 
     Inside a slice a window's total is the running sum up to now less the running sum up to
     just before the window: two frames that only ever grow, hence linear in the rows, where a
-    moving frame would add up each window from its beginning. Sums are whole cents, so the
+    moving frame would add up each window from its beginning. Sums are decimals, so the
     difference is exact.
     """
     reach = max(windows.values())
     slice_seconds = SLICE_REACHES * reach
     second = F.col("second")
     per_second = (
-        fact.select("customer_id", epoch_second(fact).alias("second"), cents("transaction_amount_usd").alias("c"))
+        fact.select("customer_id", epoch_second(fact).alias("second"), exact("transaction_amount_usd").alias("c"))
         .groupBy("customer_id", "second")
         .agg(F.count(F.lit(1)).alias("n"), F.count("c").alias("valued"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
     )

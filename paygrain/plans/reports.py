@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.measures import measure, report, roll_up
-from paygrain.functions.money import ratio
+from paygrain.functions.money import MONEY_DIGITS, ratio
 from paygrain.operators.ordering import share_of_few
 
 HEADLINE = [
@@ -66,8 +66,8 @@ def merchant_segment_summary(merchants: DataFrame) -> DataFrame:
 
 
 def _exact_sum(dollars: str) -> Column:
-    """Sum of two-decimal amounts through whole cents."""
-    return F.sum(F.round(F.col(dollars) * 100).cast("bigint")) / 100
+    """Sum of amounts through decimals."""
+    return F.sum(F.col(dollars).cast(f"decimal(28,{MONEY_DIGITS})")).cast("double")
 
 
 def merchant_detail(merchants: DataFrame) -> DataFrame:

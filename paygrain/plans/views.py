@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 
 from paygrain.functions.dates import month_bit, month_word, transaction_date, transaction_month
 from paygrain.functions.measures import measure, report, reported, roll_up, with_distinct_members
-from paygrain.functions.money import ratio
-from paygrain.operators.lookup import has_few_rows
-from paygrain.operators.ordering import ROWS_PER_TASK, ntile, percent_rank, with_global_ranks
+from paygrain.functions.money import dollars, ratio
+from paygrain.operators.ordering import ntile, percent_rank, with_global_ranks
 from paygrain.operators.velocity import with_trailing_totals
 from paygrain.schema import DECLINED
 
@@ -70,7 +69,7 @@ MERCHANT_ATTRIBUTES = [
 
 
 def merchant_intelligence(
-    fact: DataFrame, dim_merchant: DataFrame, cut: float = 0.75, rows_per_task: int = ROWS_PER_TASK
+    fact: DataFrame, dim_merchant: DataFrame, cut: float = 0.75, ranges: int | None = None
 ) -> DataFrame:
     merchants = measure(fact, "merchant_id").join(
         dim_merchant.select("merchant_id", *MERCHANT_ATTRIBUTES), "merchant_id"
@@ -90,7 +89,7 @@ def merchant_intelligence(
             "fraud_loss_percentile": [F.col("fraud_loss_usd")],
             "decline_percentile": [F.col("decline_rate")],
         },
-        rows_per_task,
+        ranges,
     )
     percentiles = ["value_percentile", "fraud_loss_percentile", "decline_percentile"]
     ranked = ranked.withColumns({name: percent_rank(name, n) for name in percentiles})
@@ -117,7 +116,7 @@ def customer_analytics(
     dim_customer: DataFrame,
     tiles: int = 5,
     low_months: int = 3,
-    rows_per_task: int = ROWS_PER_TASK,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Equal spend or activity is ordered by customer id.
 
@@ -156,7 +155,7 @@ def customer_analytics(
             "spend_quintile": [value.isNull(), -value, F.col("customer_id")],
             "activity_quintile": [-count, F.col("customer_id")],
         },
-        rows_per_task,
+        ranges,
     )
     ranked = ranked.withColumns({name: ntile(name, n, tiles) for name in ("spend_quintile", "activity_quintile")})
     top_spend, top_activity = F.col("spend_quintile") == 1, F.col("activity_quintile") == 1
@@ -179,16 +178,14 @@ RISK_SEGMENT = [
 def risk_measures(fact: DataFrame, dim_merchant: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Additive measures per fraud-risk segment.
 
-    Customers known to be few are broadcast. Otherwise the fact is first grouped by customer
-    and the low-cardinality columns: a customer then has at most one row per combination of
-    those, so the customer join, the one with the large dimension, has no hot key.
+    The fact is grouped by customer and the low-cardinality columns before customers are
+    attached: a customer then has at most one row per combination of those, so the join with the
+    large dimension has no hot key.
     """
     facets = ["channel", "payment_method", "is_cross_border"]
     merchants = dim_merchant.select("merchant_id", "merchant_category", "merchant_risk_rating")
     customers = dim_customer.select("customer_id", F.col("risk_segment").alias("customer_risk_segment"))
     rated = fact.join(merchants, "merchant_id")
-    if has_few_rows(customers):
-        return measure(rated.join(F.broadcast(customers), "customer_id"), *RISK_SEGMENT)
     per_customer = measure(rated, "customer_id", "merchant_category", "merchant_risk_rating", *facets)
     return roll_up(per_customer.join(customers, "customer_id"), *RISK_SEGMENT)
 
@@ -240,14 +237,14 @@ def merchant_daily_anomalies(
     """
     days = report(
         measure(fact, "merchant_id", transaction_date(fact)),
-        ["merchant_id", "transaction_date", "value_cents"],
+        ["merchant_id", "transaction_date", "value_total"],
         [
             "transaction_count", "transaction_value_usd", "approval_rate", "fraud_rate", "fraud_loss_usd",
             "average_processing_time_ms",
         ],
     )
     before = Window.partitionBy("merchant_id").orderBy("transaction_date").rowsBetween(-window, -1)
-    value_mean = ratio(F.sum("value_cents").over(before) / 100, F.count("value_cents").over(before))
+    value_mean = ratio(dollars(F.sum("value_total").over(before)), F.count("value_total").over(before))
     days = days.withColumns(
         {
             "baseline_observations": F.count(F.lit(1)).over(before),
@@ -258,7 +255,7 @@ def merchant_daily_anomalies(
             "baseline_approval_rate": F.avg("approval_rate").over(before),
             "baseline_approval_rate_sd": F.stddev_samp("approval_rate").over(before),
         }
-    ).drop("value_cents")
+    ).drop("value_total")
 
     def score(measured: str, mean: str, deviation: str) -> Column:
         return F.when(F.col(deviation) >= FLAT, (F.col(measured) - F.col(mean)) / F.col(deviation))

@@ -30,14 +30,14 @@ def rows(spark):
     return spark.createDataFrame(values, "id bigint, value double, name string").repartition(7)
 
 
-@pytest.mark.parametrize("rows_per_task", [10, 100, 2_999, 3_000])
-def test_ranks_equal_plain_windows(rows, rows_per_task):
+@pytest.mark.parametrize("ranges", [None, 1, 10, 60])
+def test_ranks_equal_plain_windows(rows, ranges):
     orders = {
         "by_value": [F.col("value")],
         "by_value_desc_id": [F.col("value").isNull(), -F.col("value"), F.col("id")],
         "by_name_id": [F.col("name"), F.col("id")],
     }
-    ranked, n = with_global_ranks(rows, orders, rows_per_task)
+    ranked, n = with_global_ranks(rows, orders, ranges)
     assert n == 3000
     checked = ranked.withColumns(
         {
@@ -58,21 +58,21 @@ def test_ranks_equal_plain_windows(rows, rows_per_task):
     assert wrong.count() == 0
 
 
-@pytest.mark.parametrize("rows_per_task", [10, 250, 5_000])
-def test_positions_equal_the_sorted_list(rows, rows_per_task):
+@pytest.mark.parametrize("ranges", [None, 1, 30])
+def test_positions_equal_the_sorted_list(rows, ranges):
     expected = sorted(((r.value is not None, r.value or 0.0, r.id) for r in rows.collect()))
     positions = [1, 2, 74, 75, 700, 1500, 2999, 3000]
-    keys = keys_at(rows, [F.col("value"), F.col("id")], positions, rows_per_task)
+    keys = keys_at(rows, [F.col("value"), F.col("id")], positions, ranges)
     assert [(k[0] is not None, k[0] or 0.0, k[1]) for k in keys] == [expected[p - 1] for p in positions]
-    ties = keys_at(rows, [F.col("value")], positions, rows_per_task)
+    ties = keys_at(rows, [F.col("value")], positions, ranges)
     assert [t[0] for t in ties] == [k[0] for k in keys]
 
 
-@pytest.mark.parametrize("rows_per_task", [10, 5_000])
-def test_running_totals_equal_plain_windows(rows, rows_per_task):
+@pytest.mark.parametrize("ranges", [None, 30])
+def test_running_totals_equal_plain_windows(rows, ranges):
     counts = rows.groupBy("value").agg(F.count("*").alias("n"), F.sum("id").alias("weight"))
     totals, grand = with_running_totals(
-        counts, [F.col("value")], {"n_up_to": "n", "weight_up_to": "weight"}, rows_per_task
+        counts, [F.col("value")], {"n_up_to": "n", "weight_up_to": "weight"}, ranges
     )
     window = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     wrong = totals.withColumns(
@@ -84,7 +84,7 @@ def test_running_totals_equal_plain_windows(rows, rows_per_task):
 
 def test_percent_rank_with_null_and_ties(spark):
     table = spark.createDataFrame([(None,), (1.0,), (2.0,), (2.0,), (3.0,)], "v double")
-    ranked, n = with_global_ranks(table, {"r": [F.col("v")]}, rows_per_task=1)
+    ranked, n = with_global_ranks(table, {"r": [F.col("v")]}, ranges=5)
     assert sorted(r[0] for r in ranked.select(percent_rank("r", n)).collect()) == [0.0, 0.25, 0.5, 0.5, 1.0]
 
 
@@ -101,13 +101,13 @@ def test_empty_table(spark):
 
 
 def test_ranged_plan_has_no_single_task_window(rows):
-    ranked, _ = with_global_ranks(rows, {"r": [F.col("value")]}, rows_per_task=100)
+    ranked, _ = with_global_ranks(rows, {"r": [F.col("value")]}, ranges=20)
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "_range" in plan
 
 
 def test_dense_ids_start_where_asked(spark):
-    ids = dense_ids(spark.range(0, 1000, 7), [-F.col("id")], start=501, rows_per_task=20)
+    ids = dense_ids(spark.range(0, 1000, 7), [-F.col("id")], start=501, ranges=20)
     assert [r.dense_id for r in ids.orderBy(F.desc("id")).collect()] == list(range(501, 501 + 143))
 
 

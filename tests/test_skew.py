@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from paygrain.operators import enrich, lookup
+from paygrain.operators import enrich
 from paygrain.plans import views
 
 SMALL_LIMITS = {
@@ -93,11 +93,10 @@ def test_velocity_of_a_hot_customer(small_limits, hot_fact):
 
 def test_reports_of_a_hot_customer(small_limits, hot_fact, many, monkeypatch):
     customers, merchants = many
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     risk = views.fraud_risk_segments(hot_fact, merchants, customers)
     assert risk.agg(F.sum("transaction_count")).first()[0] == 30_000
-    by_customer = views.customer_analytics(hot_fact, customers, rows_per_task=100)
+    by_customer = views.customer_analytics(hot_fact, customers, ranges=20)
     assert by_customer.agg(F.sum("transaction_count")).first()[0] == 30_000
     assert by_customer.where("customer_id = 'C1' AND spend_quintile = 1 AND activity_quintile = 1").count() == 1
-    by_merchant = views.merchant_intelligence(hot_fact, merchants, rows_per_task=10)
+    by_merchant = views.merchant_intelligence(hot_fact, merchants, ranges=10)
     assert by_merchant.where("merchant_id = 'M1' AND value_percentile = 1.0").count() == 1

@@ -7,7 +7,6 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from paygrain.operators import lookup
 from paygrain.plans import reports, views
 
 NOON = datetime(2025, 3, 1, 12, 0, 0)
@@ -213,7 +212,6 @@ def test_risk_measures_agree_with_and_without_a_broadcast_customer(payments, dim
     fact = payments({}, {"is_fraud": True, "fraud_loss_amount_usd": 5.0}, {"channel": "in_app"}, {"customer_id": "C9"})
     tables = dimensions["dim_merchant"], dimensions["dim_customer"]
     few = views.fraud_risk_segments(fact, *tables)
-    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     many = views.fraud_risk_segments(fact, *tables)
     assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
     assert few.agg(F.sum("transaction_count")).first()[0] == 3
