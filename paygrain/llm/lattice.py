@@ -48,6 +48,7 @@ ROUNDS = 2  # of expectation-maximisation
 SMOOTHING = 0.1  # added to every piece's expected count
 BLOCK_CHARS = 1 << 25  # a block ends with the document that passes this many characters
 BLOCK_SHIFT = 33
+EMPTY = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 FIRST_RANK = 259  # ids below are bytes and control symbols
 BEGIN = "▁"
 
@@ -69,7 +70,10 @@ def pieces_of(path: str) -> list[str]:
 
 
 class Lattice:
-    """Segmentations of a word into pieces with given natural-log probabilities."""
+    """Segmentations of a word into pieces with given natural-log probabilities.
+
+    The pieces are a trie of ``character -> (piece id or None, following characters)``.
+    """
 
     def __init__(self, pieces: list[str], log_p: np.ndarray) -> None:
         self.log_p = log_p.tolist()
@@ -80,60 +84,87 @@ class Lattice:
                 self.bytes[int(piece[3:5], 16)] = i
             elif piece:
                 node = self.trie
-                for c in piece:
-                    node = node.setdefault(c, {})
-                node[""] = i
-
-    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """By end position: (start, piece ids, log probability) of every piece that fits there."""
-        text = BEGIN + word
-        at: list[list] = [[] for _ in range(len(text) + 1)]
-        for i in range(len(text)):
-            node, j = self.trie, i
-            while j < len(text) and (node := node.get(text[j])) is not None:
-                j += 1
-                piece = node.get("")
-                if piece is not None:
-                    at[j].append((i, (piece,), self.log_p[piece]))
-            if "" not in self.trie.get(text[i], ()):
-                ids = tuple(self.bytes[b] for b in text[i].encode())
-                at[i + 1].append((i, ids, sum(self.log_p[x] for x in ids)))
-        return at
-
-    def forward(self, at: list) -> list[float]:
-        """Log probability of everything before each position, over all segmentations."""
-        alpha = [0.0]
-        for into in at[1:]:
-            paths = [alpha[i] + p for i, _, p in into]
-            top = max(paths)
-            alpha.append(top if len(paths) == 1 or top == -math.inf else top + math.log(sum(math.exp(x - top) for x in paths)))
-        return alpha
+                for c in piece[:-1]:
+                    node = node.setdefault(c, [None, {}])[1]
+                node.setdefault(piece[-1], [None, {}])[0] = i
+
+    def as_bytes(self, character: str) -> tuple[int, ...]:
+        return tuple(self.bytes[b] for b in character.encode())
 
     def score(self, word: str, pieces: float, whole: float) -> float:
         """Log probability of a word: ``pieces`` is what all cuts together get, ``whole`` its own arc."""
-        at = [[(i, ids, p if i else p + pieces) for i, ids, p in into] for into in self.edges(word)]
+        text, log_p, trie = BEGIN + word, self.log_p, self.trie
+        size = len(text)
+        paths: list[list[float]] = [[] for _ in range(size + 1)]
+        paths[0].append(pieces)
+        for i in range(size):
+            before, node = log_sum(paths[i]), trie
+            for j in range(i, size):
+                step = node.get(text[j])
+                if step is None:
+                    break
+                piece, node = step
+                if piece is not None:
+                    paths[j + 1].append(before + log_p[piece])
+            if not self.alone(text[i]):
+                paths[i + 1].append(before + sum(log_p[x] for x in self.as_bytes(text[i])))
         if whole > -math.inf:
-            at[-1].append((0, (), whole))
-        return self.forward(at)[-1]
+            paths[size].append(whole)
+        return log_sum(paths[size])
 
-    def expect(self, word: str, totals: np.ndarray) -> None:
+    def alone(self, character: str) -> bool:
+        """Whether the character has a piece of its own."""
+        step = self.trie.get(character)
+        return step is not None and step[0] is not None
+
+    def expect(self, word: str, totals: list[float]) -> None:
         """Add the expected uses of each piece in the word to ``totals``."""
-        at = self.edges(word)
-        alpha = self.forward(at)
-        share = [0.0] * len(at)  # of the probability that goes through each position
-        share[-1] = 1.0
-        for j in range(len(at) - 1, 0, -1):
-            if share[j]:
-                for i, ids, p in at[j]:
-                    part = share[j] * math.exp(alpha[i] + p - alpha[j])
+        text, log_p, trie, exp = BEGIN + word, self.log_p, self.trie, math.exp
+        size = len(text)
+        into: list[list[tuple]] = [[] for _ in range(size + 1)]  # (start, piece or pieces, log of the paths)
+        alpha = [0.0] * (size + 1)
+        for i in range(size):
+            if i:
+                alpha[i] = log_sum([path for _, _, path in into[i]])
+            before, node = alpha[i], trie
+            for j in range(i, size):
+                step = node.get(text[j])
+                if step is None:
+                    break
+                piece, node = step
+                if piece is not None:
+                    into[j + 1].append((i, piece, before + log_p[piece]))
+            if not self.alone(text[i]):
+                ids = self.as_bytes(text[i])
+                into[i + 1].append((i, ids, before + sum(log_p[x] for x in ids)))
+        alpha[size] = log_sum([path for _, _, path in into[size]])
+        share = [0.0] * size + [1.0]  # of the probability that goes through each position
+        for j in range(size, 0, -1):
+            here, total = share[j], alpha[j]
+            if here:
+                for i, piece, path in into[j]:
+                    part = here * exp(path - total)
                     share[i] += part
-                    for x in ids:
-                        totals[x] += part
+                    if type(piece) is int:
+                        totals[piece] += part
+                    else:
+                        for x in piece:
+                            totals[x] += part
+
+
+def log_sum(values: list[float]) -> float:
+    """Logarithm of the sum of exponentials."""
+    if len(values) == 1:
+        return values[0]
+    if not values:
+        return -math.inf
+    top = max(values)
+    return top if top == -math.inf else top + math.log(sum([math.exp(v - top) for v in values]))
 
 
-def words_of(text: str) -> list[str]:
-    """Words, A-Z in lower case: white space and case of bytes are those of ASCII."""
-    return [w.decode() for w in text.encode().lower().split()]
+def words_of(text: str) -> list[bytes]:
+    """Words in UTF-8, A-Z in lower case: white space and case of bytes are those of ASCII."""
+    return text.encode().lower().split()
 
 
 def in_training(doc_id: object) -> bool:
@@ -162,29 +193,32 @@ def blocks(docs: DataFrame) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << BLOCK_SHIFT
-        index: dict[str, int] = {}
-        trained: Counter[int] = Counter()
+        index: dict[bytes, int] = {}
+        trained: list[tuple[np.ndarray, np.ndarray]] = []
         rows, chars = [], 0
 
         def finish() -> pa.RecordBatch:
-            counts = [trained[i] for i in range(len(index))]
-            return batch_of([*rows, (block, None, None, None, None, None, list(index), counts)])
+            at, times = map(np.concatenate, zip(EMPTY, *trained, strict=True))
+            counts = np.bincount(at, times, minlength=len(index)).astype(np.int64)
+            return batch_of([*rows, (block, None, None, None, None, None, [w.decode() for w in index], counts)])
 
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 doc, text = doc.as_py(), text.as_py() or ""
                 words = words_of(text)
-                tally = Counter([index.setdefault(w, len(index)) for w in words])
+                tally = Counter(words)
+                at = np.array([index.setdefault(w, len(index)) for w in tally], dtype=np.int64)
+                times = np.fromiter(tally.values(), dtype=np.int64, count=len(tally))
+                order = np.argsort(at)
+                at, times = at[order], times[order]
                 training = in_training(doc)
                 if training:
-                    trained.update(tally)
-                at = np.array(sorted(tally), dtype=np.int64)
-                times = np.array([tally[i] for i in at.tolist()], dtype=np.int64)
+                    trained.append((at, times))
                 rows.append((block, doc, not training, len(words), packed(np.diff(at, prepend=0)), packed(times), None, None))
                 chars += len(text)
                 if chars >= BLOCK_CHARS:
                     yield finish()
-                    block, index, trained, rows, chars = block + 1, {}, Counter(), [], 0
+                    block, index, trained, rows, chars = block + 1, {}, [], [], 0
         if rows:
             yield finish()
 
@@ -203,10 +237,11 @@ def fitted(vocabulary: DataFrame, pieces: list[str], rounds: int) -> np.ndarray:
     for _ in range(rounds):
 
         def expected(batches: Iterator[pd.DataFrame], log_p: np.ndarray = log_p) -> Iterator[pd.DataFrame]:
-            lattice, totals = Lattice(pieces, log_p), np.zeros(len(pieces))
+            lattice, sums = Lattice(pieces, log_p), [0.0] * len(pieces)
             for batch in batches:
                 for word in batch["word"]:
-                    lattice.expect(word, totals)
+                    lattice.expect(word, sums)
+            totals = np.array(sums)
             used = np.flatnonzero(totals)
             yield pd.DataFrame({"piece": used, "uses": totals[used]})
 

@@ -228,7 +228,7 @@ def test_forward_recursion_sums_all_cuts(word, seed):
     cuts = all_cuts("▁" + word, set(names))
     total = sum(math.prod(chance[x] for x in cut) for cut in cuts)
     assert model.score(word, math.log(0.25), math.log(0.5)) == pytest.approx(math.log(0.25 * total + 0.5))
-    uses, expected = np.zeros(len(names)), Counter()
+    uses, expected = [0.0] * len(names), Counter()
     model.expect(word, uses)
     for cut in cuts:
         for x in cut:
