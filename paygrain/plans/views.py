@@ -8,7 +8,7 @@ hot in it. Dimension primary keys are unique, as the data-quality checks require
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import month_bit, month_word, transaction_date, transaction_month
@@ -17,6 +17,7 @@ from paygrain.functions.money import dollars, ratio
 from paygrain.operators.ordering import ntile, percent_rank, with_global_ranks
 from paygrain.operators.velocity import with_trailing_totals
 from paygrain.schema import DECLINED
+from paygrain.sources.tables import register_views
 
 
 def payment_performance_daily(fact: DataFrame, dim_country: DataFrame) -> DataFrame:
@@ -359,3 +360,27 @@ def fraud_model_features(
         "merchant_category", "merchant_size", "merchant_tier", "merchant_risk_rating",
         "device_type", "operating_system", "transaction_region", "is_fraud",
     )
+
+
+def register_report_views(
+    spark: SparkSession, fact: DataFrame, dim_merchant: DataFrame, dim_customer: DataFrame,
+    dim_device: DataFrame, dim_country: DataFrame,
+) -> list[str]:
+    """Register the nine reports as temporary views and return their names.
+
+    ``merchant_intelligence`` and ``customer_analytics`` rank all rows, which is done once, when
+    they are registered: they are snapshots. The other seven are computed when they are read.
+    """
+    reports = {
+        "payment_performance_daily": payment_performance_daily(fact, dim_country),
+        "decline_analysis_monthly": decline_analysis_monthly(fact, dim_country),
+        "merchant_intelligence": merchant_intelligence(fact, dim_merchant),
+        "customer_analytics": customer_analytics(fact, dim_customer),
+        "fraud_risk_segments": fraud_risk_segments(fact, dim_merchant, dim_customer),
+        "transaction_velocity": transaction_velocity(fact),
+        "merchant_daily_anomalies": merchant_daily_anomalies(fact),
+        "executive_kpis_monthly": executive_kpis_monthly(fact),
+        "fraud_model_features": fraud_model_features(fact, dim_customer, dim_merchant, dim_device, dim_country),
+    }
+    register_views(spark, reports)
+    return list(reports)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paygrain.operators.ordering import union_all
+from paygrain.schema import TABLE_COLUMNS, table_schema
 
 PART_GLOB = "*.parquet"
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
 
 
 class MissingTables(ValueError):
@@ -22,25 +24,69 @@ class MissingTables(ValueError):
         super().__init__("Missing tables: " + ", ".join(self.names))
 
 
-def read_table(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
-    """A Parquet path or the name of a registered table or view; a missing one is named."""
+def _load(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Parquet files. Timestamps in nanoseconds, which Spark does not have, come as whole numbers.
+
+    The setting for that has to hold until the rows are read, so it is left on.
+    """
+    spark.conf.set(NANOS_AS_LONG, "true")
+    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
     try:
-        if "/" not in source:
-            return spark.table(source)
-        reader = spark.read if schema is None else spark.read.schema(schema)
-        return reader.parquet(source)
+        return reader.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
-            raise MissingTables([source]) from error
+        if error.getCondition() == "PATH_NOT_FOUND":
+            raise MissingTables([path]) from error
         raise
 
 
+def from_nanoseconds(column: Column) -> Column:
+    """The time of no zone that is so many nanoseconds after 1970 began, to the microsecond."""
+    micros = F.floor(column / F.lit(1000).cast("decimal(19,0)"))
+    seconds = (micros.cast("decimal(19,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def conform(table: DataFrame, declared: T.StructType) -> DataFrame:
+    """Bring the declared columns to their types; others stay as they are.
+
+    A whole number where a timestamp is declared is a time in nanoseconds, of no zone.
+    """
+    wanted = {field.name: field.dataType.simpleString() for field in declared.fields}
+    changed = {}
+    for name, kind in table.dtypes:
+        want = wanted.get(name, kind)
+        if want.startswith("timestamp"):
+            if kind == "bigint":
+                changed[name] = from_nanoseconds(F.col(name))
+        elif kind != want:
+            changed[name] = F.col(name).cast(want)
+    return table.withColumns(changed) if changed else table
+
+
+def read_table(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
+    """A Parquet path or the name of a registered table or view; a missing one is named."""
+    if "/" in source:
+        table = _load(spark, source)
+    else:
+        try:
+            table = spark.table(source)
+        except AnalysisException as error:
+            if error.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
+                raise MissingTables([source]) from error
+            raise
+    return table if schema is None else conform(table, schema)
+
+
 def read_tables(spark: SparkSession, sources: dict[str, str]) -> dict[str, DataFrame]:
-    """Read every table, or raise one error that names all the missing ones."""
+    """Read every table, or raise one error that names all the missing ones.
+
+    Tables of the star schema, by name, are brought to their declared types.
+    """
     found, missing = {}, []
     for name, source in sources.items():
+        declared = table_schema(name) if name in TABLE_COLUMNS else None
         try:
-            found[name] = read_table(spark, source)
+            found[name] = read_table(spark, source, declared)
         except MissingTables:
             missing.append(name)
     if missing:
@@ -50,10 +96,7 @@ def read_tables(spark: SparkSession, sources: dict[str, str]) -> dict[str, DataF
 
 def read_fact(spark: SparkSession, directory: str, pattern: str = PART_GLOB) -> DataFrame:
     """The part files of the fact table below ``directory`` that match ``pattern``."""
-    try:
-        return spark.read.option("pathGlobFilter", pattern).parquet(directory)
-    except AnalysisException as error:
-        raise MissingTables([directory]) from error
+    return conform(_load(spark, directory, pattern), table_schema("fact_transactions"))
 
 
 def with_part(table: DataFrame, name: str = "part") -> DataFrame:

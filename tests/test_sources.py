@@ -23,6 +23,58 @@ def test_missing_tables_are_named(spark, tmp_path):
         tables.read_tables(spark, {"b": str(tmp_path / "x"), "a": "no_such_view", "c": str(tmp_path / "there")})
 
 
+def test_nanosecond_files_of_pandas(spark, dimensions, tmp_path):
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    times = np.array(["2025-01-01T23:59:59.123456789", "1969-12-31T23:59:59.999999999", "NaT"], dtype="datetime64[ns]")
+    columns = {c: [None] * 3 for c in schema.REQUIRED_COLUMNS} | {
+        "transaction_id": [1, 2, 3], "transaction_timestamp": times, "country_id": ["IRL"] * 3,
+        "transaction_amount_usd": [1.0, 2.0, 3.0], "transaction_status": ["approved"] * 3, "is_fraud": [False] * 3,
+    }
+    (tmp_path / "fact").mkdir()
+    pq.write_table(pa.table(columns), tmp_path / "fact" / "part.parquet", version="2.6")
+    back = tables.read_fact(spark, str(tmp_path / "fact"))
+    kinds = dict(back.dtypes)
+    assert kinds["transaction_timestamp"] == "timestamp_ntz" and kinds["is_cross_border"] == "boolean"
+    found = [r.transaction_timestamp for r in back.orderBy("transaction_id").collect()]
+    assert found == [datetime(2025, 1, 1, 23, 59, 59, 123456), datetime(1969, 12, 31, 23, 59, 59, 999999), None]
+    daily = views.payment_performance_daily(back, dimensions["dim_country"]).collect()
+    assert {str(r.transaction_date): r.transaction_count for r in daily} == {"2025-01-01": 1, "1969-12-31": 1, "None": 1}
+    named = tables.read_tables(spark, {"fact_transactions": str(tmp_path / "fact")})
+    assert named["fact_transactions"].dtypes == back.dtypes
+
+
+def test_odd_files_are_not_called_missing(spark, tmp_path):
+    (tmp_path / "odd").mkdir()
+    (tmp_path / "odd" / "part.parquet").write_text("not a table")
+    with pytest.raises(Exception) as error:
+        tables.read_fact(spark, str(tmp_path / "odd")).count()
+    assert not isinstance(error.value, tables.MissingTables)
+
+
+def test_all_reports_as_views(spark, payments, dimensions):
+    declined = {"transaction_status": "declined", "decline_reason": "do_not_honor"}
+    fact = payments({}, {"is_fraud": True, "fraud_loss_amount_usd": 5.0}, declined)
+    names = views.register_report_views(
+        spark, fact, dimensions["dim_merchant"], dimensions["dim_customer"], dimensions["dim_device"],
+        dimensions["dim_country"],
+    )
+    assert len(names) == 9 and all(spark.table(n).count() > 0 for n in names)
+
+
+def test_a_day_is_replaced_alone(spark, payments, tmp_path):
+    path = str(tmp_path / "fact")
+    sinks.write_fact(payments(*[{"transaction_timestamp": datetime(2025, 1, 1 + i % 3)} for i in range(9)]), path)
+    again = payments({"transaction_timestamp": datetime(2025, 1, 2)})
+    sinks.write_fact(again, path)
+    counts = spark.read.parquet(path).groupBy("transaction_date").count().collect()
+    assert {str(r[0])[-2:]: r[1] for r in counts} == {"01": 3, "02": 1, "03": 3}
+    sinks.write_fact(again, path, replace="table")
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_views_by_name(spark):
     tables.register_views(spark, {"some_numbers": spark.range(4)})
     assert tables.read_table(spark, "some_numbers").count() == 4
