@@ -7,8 +7,9 @@ stated again in plain SQL. Money is summed as DECIMAL(18,6), rates are doubles.
 from __future__ import annotations
 
 from paygrain import schema
+from paygrain.operators.modeling import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from paygrain.sources import fixtures
-from paygrain.sources.fixtures import mapping_ctes
+from paygrain.sources.fixtures import STATED_COEFFICIENTS, STATED_INTERCEPT, mapping_ctes
 
 ORACLE: dict[str, str] = {}
 
@@ -620,7 +621,7 @@ SPLIT = (
 check("chronological_split", f"SELECT transaction_id, {SPLIT} AS split FROM features", FEATURES)
 check("hash_sample", f"""
 SELECT transaction_id FROM features
-WHERE {SPLIT} = 'train' AND substr(md5(CAST(transaction_id AS VARCHAR)), 8, 1) IN ('0', '4', '8', 'c')
+WHERE {SPLIT} = 'train' AND CAST('0x' || substr(md5(CAST(transaction_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0
 """, FEATURES)
 check("split_summary", f"""
 SELECT {SPLIT} AS split, count(*) AS rows, count(*) FILTER (WHERE is_fraud) AS fraud, {rate("is_fraud")} AS fraud_rate
@@ -740,6 +741,129 @@ SELECT metric, round(value, 9) AS value FROM (
 )
 """, f"{CURVES.strip()},\n{_CONFUSION_ONLY}")
 
+TEST_ROWS = f"transaction_date >= DATE '{fixtures.TEST_FROM}'"
+check("fraud_lr", f"""
+SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better_than_chance,
+  true AS gradient_near_zero
+FROM features WHERE {TEST_ROWS}
+""", FEATURES)
+check("fraud_gbt", f"""
+SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better_than_chance
+FROM features WHERE {TEST_ROWS}
+""", FEATURES)
+
+
+def _term(name: str, weight: float) -> str:
+    if name in NUMERIC_FEATURES:
+        value = f"coalesce(CAST({name} AS DOUBLE), 0)"
+    else:
+        column = max((c for c in CATEGORICAL_FEATURES if name.startswith(f"{c}_")), key=len)
+        value = f"CASE WHEN CAST({column} AS VARCHAR) = '{name.removeprefix(column + '_')}' THEN 1e0 ELSE 0e0 END"
+    return f"({weight!r}e0 * {value})"
+
+
+STATED = f"1 / (1 + exp(-({STATED_INTERCEPT!r}e0 + {' + '.join(_term(n, w) for n, w in STATED_COEFFICIENTS)})))"
+check("score", f"""
+SELECT transaction_id, is_fraud AS label, round({STATED}, 12) AS score
+FROM features WHERE {SPLIT} = 'validation'
+""", FEATURES)
+LEVELS = " UNION ALL ".join(
+    f"SELECT '{c}_' || CAST({c} AS VARCHAR) AS feature, count(*) AS payments FROM features WHERE {c} IS NOT NULL GROUP BY 1"
+    for c in CATEGORICAL_FEATURES
+)
+COEFFICIENTS = f"""
+{FEATURES.strip()},
+levels AS ({LEVELS}),
+stated AS (
+  SELECT feature, coefficient, round(exp(coefficient), 12) AS exp_coefficient, abs(coefficient) AS absolute_coefficient
+  FROM (VALUES {', '.join(f"('{n}', {w!r}e0)" for n, w in STATED_COEFFICIENTS)}) v(feature, coefficient)
+)
+"""
+check("lr_coefficients", "SELECT s.*, l.payments FROM stated s LEFT JOIN levels l USING (feature)", COEFFICIENTS)
+check("top_coefficients", """
+SELECT * FROM (SELECT feature, coefficient, exp_coefficient, 'positive' AS side FROM stated SEMI JOIN levels USING (feature)
+  ORDER BY coefficient DESC, feature LIMIT 3)
+UNION ALL
+SELECT * FROM (SELECT feature, coefficient, exp_coefficient, 'negative' AS side FROM stated SEMI JOIN levels USING (feature)
+  ORDER BY coefficient, feature LIMIT 3)
+""", COEFFICIENTS)
+_CAPTURES = """
+  SELECT {model} AS model, 'capture_at_top_' || name || '_pct' AS metric,
+    count(*) FILTER (WHERE label AND r <= greatest(1, floor(n * share))) / count(*) FILTER (WHERE label) AS value
+  FROM (SELECT *, row_number() OVER (ORDER BY score DESC, transaction_id) AS r, count(*) OVER () AS n FROM {rows}),
+    (VALUES ('0_5', 0.005e0), ('1', 0.01e0), ('5', 0.05e0)) v(name, share)
+  GROUP BY name
+"""
+
+
+def _curve(name: str, rows: str) -> str:
+    return f"""
+{name}_steps AS (SELECT score, count(*) AS n, count(*) FILTER (WHERE label) AS pos FROM {rows} GROUP BY 1),
+{name}_curve AS (
+  SELECT *, sum(n) OVER (ORDER BY score DESC) AS flagged, sum(pos) OVER (ORDER BY score DESC) AS tp,
+    sum(n - pos) OVER (ORDER BY score) - (n - pos) AS negatives_below
+  FROM {name}_steps
+),
+{name}_areas AS (
+  SELECT sum(pos / (SELECT sum(pos) FROM {name}_steps) * (tp / flagged)) AS average_precision,
+    CAST(sum(pos * (2 * negatives_below + n - pos)) AS DOUBLE) / CAST(2 * sum(pos) * sum(n - pos) AS DOUBLE) AS roc_auc
+  FROM {name}_curve
+)"""
+
+
+def _areas(name: str, label: str) -> str:
+    return (
+        f"SELECT {label} AS model, 'average_precision_pr_auc' AS metric, average_precision AS value FROM {name}_areas "
+        f"UNION ALL SELECT {label}, 'roc_auc', roc_auc FROM {name}_areas"
+    )
+
+
+check("model_comparison", f"""
+SELECT model, metric, round(value, 9) AS value FROM (
+  {_areas("scorecard", "'scorecard'")} UNION ALL {_CAPTURES.format(model="'scorecard'", rows="test")}
+  UNION ALL {_areas("stated", "'stated_regression'")}
+  UNION ALL {_CAPTURES.format(model="'stated_regression'", rows="stated_test")}
+)
+""", f"""{FEATURES.strip()},
+{SCORED.strip()},
+stated_test AS (
+  SELECT transaction_id, is_fraud AS label, round({STATED}, 12) AS score FROM features WHERE {TEST_ROWS}
+),{_curve("scorecard", "test")},{_curve("stated", "stated_test")}""")
+
+
+def _at_threshold(split: str) -> str:
+    counts = f"""(SELECT threshold, count(*) AS rows, count(*) FILTER (WHERE label) AS fraud_rows,
+    count(*) FILTER (WHERE score < threshold AND NOT label) AS tn, count(*) FILTER (WHERE score >= threshold AND NOT label) AS fp,
+    count(*) FILTER (WHERE score < threshold AND label) AS fn, count(*) FILTER (WHERE score >= threshold AND label) AS tp
+    FROM {split}, (SELECT threshold FROM sweep ORDER BY f1 DESC, threshold LIMIT 1) GROUP BY threshold)"""
+    values = {
+        "rows": "rows", "fraud_rows": "fraud_rows", "threshold": "threshold", "tn": "tn", "fp": "fp", "fn": "fn", "tp": "tp",
+        "precision": "coalesce(tp / nullif(tp + fp, 0), 0)", "recall": "coalesce(tp / nullif(tp + fn, 0), 0)",
+        "f1": "coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)",
+        "flag_rate": "coalesce((tp + fp) / nullif(tn + fp + fn + tp, 0), 0)",
+    }
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS metric, CAST({v} AS DOUBLE) AS value FROM {counts}" for k, v in values.items())
+    return (
+        f"SELECT '{split}' AS split, metric, value FROM ({rows} UNION ALL SELECT metric, value FROM ({_areas(split, chr(39) * 2)}) "
+        f"UNION ALL SELECT metric, value FROM ({_CAPTURES.format(model=chr(39) * 2, rows=split)}))"
+    )
+
+
+check("model_report", f"""
+SELECT split, metric, round(value, 9) AS value FROM ({_at_threshold("validation")} UNION ALL {_at_threshold("test")})
+""", f"""{SWEEP.strip()},{_curve("validation", "validation")},{_curve("test", "test")}""")
+plain("dense_id_blocks", """
+SELECT l_orderkey, min(line_id) AS first_id, max(line_id) AS last_id, count(DISTINCT line_id) AS ids, count(*) AS lines
+FROM (SELECT l_orderkey, row_number() OVER (ORDER BY l_orderkey) AS line_id FROM lineitem) GROUP BY 1
+""")
+plain("sub_cent_value", """
+SELECT l_returnflag, CAST(sum(CAST(net AS DECIMAL(18,6))) AS DOUBLE) AS net_value,
+  count(*) FILTER (WHERE abs(net - CAST(CAST(net AS DECIMAL(18,6)) AS DOUBLE)) > 1e-9 * greatest(1e0, abs(net))) AS rounded_rows,
+  count(*) FILTER (WHERE abs(net - CAST(CAST(net AS DECIMAL(18,2)) AS DOUBLE)) > 1e-9 * greatest(1e0, abs(net)))
+    AS rows_finer_than_cents
+FROM (SELECT l_returnflag, l_extendedprice * (1 - l_discount) AS net FROM lineitem) GROUP BY 1
+""")
+
 # --- summary reports -----------------------------------------------------------------------
 
 check("portfolio_kpis", f"""

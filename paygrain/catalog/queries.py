@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paygrain.functions import dates, metrics
 from paygrain.functions.dates import transaction_date
 from paygrain.functions.measures import measure
-from paygrain.functions.money import dollars
+from paygrain.functions.money import dollars, exact, finer_than_money
 from paygrain.operators import enrich, evaluation, modeling, ordering, quality
 from paygrain.plans import reports, views
 from paygrain.sources import fixtures, tables
@@ -130,6 +130,17 @@ def part_manifest(s: Star) -> DataFrame:
     return tables.part_manifest(s.raw("events").withColumnRenamed("event_id", "transaction_id"))
 
 
+@query
+def sub_cent_value(s: Star) -> DataFrame:
+    """Sums of amounts with four decimals, and how many rows an exact sum would round."""
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return s.raw("lineitem").groupBy("l_returnflag").agg(
+        dollars(F.sum(exact(net))).alias("net_value"),
+        F.count_if(finer_than_money(net)).alias("rounded_rows"),
+        F.count_if(finer_than_money(net, 2)).alias("rows_finer_than_cents"),
+    )
+
+
 @query
 def core_kpis(s: Star) -> DataFrame:
     return quality.core_kpis(s.lineitem)
@@ -318,6 +329,17 @@ def dense_ids(s: Star) -> DataFrame:
     return ordering.dense_ids(lines, order, start=1001, name="transaction_id")
 
 
+@query
+def dense_id_blocks(s: Star) -> DataFrame:
+    """Ids over a key that repeats: each key has a block of its own without gaps."""
+    lines = s.raw("lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    ids = ordering.dense_ids(lines, [F.col("l_orderkey")], start=1, name="line_id")
+    return ids.groupBy("l_orderkey").agg(
+        F.min("line_id").alias("first_id"), F.max("line_id").alias("last_id"),
+        F.count_distinct("line_id").alias("ids"), F.count(F.lit(1)).alias("lines"),
+    )
+
+
 CALIBRATION_DOUBLES = [
     "expected_fraud_rate", "expected_approval_rate", "expected_cross_border_rate", "expected_processing_time_ms",
 ]
@@ -420,40 +442,80 @@ def test_split(s: Star) -> DataFrame:
     return modeling.read_split(features(s), "test", *SPLIT_DATES)
 
 
+def fitted_on(model, rows: DataFrame, scored_rows: DataFrame) -> DataFrame:
+    """Scored rows with what has to hold for each score and for the fit itself.
+
+    A fit passes if it ranks its own training rows better than chance.
+    """
+    own = evaluation.roc_auc(modeling.score(model, rows)).first()[0]
+    return scored_rows.select(
+        "transaction_id", "label", F.col("score").between(0, 1).alias("score_in_range"),
+        F.lit(own > 0.5).alias("better_than_chance"),
+    )
+
+
 @query
 def fraud_lr(s: Star) -> DataFrame:
-    return modeling.score(modeling.fit_lr(train(s)), test_split(s))
+    """Besides, the weighted residuals of the regression add up to nothing: its intercept is free."""
+    rows = train(s)
+    model = modeling.fit_lr(rows)
+    residual = modeling.balanced_weights(modeling.model_columns(rows)).select("transaction_id", "weight").join(
+        modeling.score(model, rows), "transaction_id"
+    ).agg(F.sum(F.col("weight") * (F.col("score") - F.col("label").cast("double"))) / F.sum("weight")).first()[0]
+    checked = fitted_on(model, rows, modeling.score(model, test_split(s)))
+    return checked.withColumn("gradient_near_zero", F.lit(abs(residual) < 1e-3))
 
 
 @query
 def fraud_gbt(s: Star) -> DataFrame:
-    return modeling.score(modeling.fit_gbt(train(s)), test_split(s))
+    rows = train(s)
+    model = modeling.fit_gbt(rows)
+    return fitted_on(model, rows, modeling.score(model, test_split(s)))
+
+
+def stated(s: Star, split: str) -> DataFrame:
+    rows = modeling.read_split(features(s), split, *SPLIT_DATES)
+    return modeling.stated_score(rows, fixtures.STATED_INTERCEPT, fixtures.STATED_COEFFICIENTS)
 
 
 @query
 def score(s: Star) -> DataFrame:
-    """The fitted regression applied to the validation split."""
-    return modeling.score(modeling.fit_lr(train(s)), modeling.read_split(features(s), "validation", *SPLIT_DATES))
+    """The stated regression applied to the validation split."""
+    return rounded(stated(s, "validation"), 12, "score")
+
+
+def stated_table(s: Star) -> DataFrame:
+    """The stated coefficients, with the payments that have each level."""
+    table = rounded(modeling.coefficient_table(s.spark, fixtures.STATED_COEFFICIENTS), 12, "exp_coefficient")
+    levels = modeling.level_counts(features(s), modeling.CATEGORICAL_FEATURES)
+    applies = levels.select(F.concat_ws("_", "feature", "level").alias("feature"), F.col("n").alias("payments"))
+    return table.join(applies, "feature", "left")
 
 
 @query
 def lr_coefficients(s: Star) -> DataFrame:
-    return modeling.lr_coefficients(modeling.fit_lr(train(s)), s.spark)
+    return stated_table(s)
 
 
 @query
 def top_coefficients(s: Star) -> DataFrame:
-    return modeling.top_coefficients(modeling.lr_coefficients(modeling.fit_lr(train(s)), s.spark))
+    """Strongest stated coefficients of each sign among levels that occur."""
+    return modeling.top_coefficients(stated_table(s).where("payments IS NOT NULL"), 3)
 
 
 @query
 def model_comparison(s: Star) -> DataFrame:
-    return evaluation.model_comparison(
-        {
-            "logistic_regression": modeling.score(modeling.fit_lr(train(s)), test_split(s)),
-            "gradient_boosting": modeling.score(modeling.fit_gbt(train(s)), test_split(s)),
-        }
+    """The stated regression against the scorecard, on the test split."""
+    compared = evaluation.model_comparison(
+        {"stated_regression": rounded(stated(s, "test"), 12, "score"), "scorecard": scored(s, "test")}
     )
+    return rounded(compared, 9, "value")
+
+
+@query
+def model_report(s: Star) -> DataFrame:
+    """Threshold from validation; both splits evaluated at it."""
+    return rounded(evaluation.model_report(scored(s, "validation"), scored(s, "test")), 9, "value")
 
 
 # --- summary reports -----------------------------------------------------------------------

@@ -112,6 +112,14 @@ CATEGORY_APPROVAL_DELTA = {
 SEGMENT_CROSS_BORDER_RATE = {
     "AUTOMOBILE": 0.08, "BUILDING": 0.18, "FURNITURE": 0.14, "HOUSEHOLD": 0.42, "MACHINERY": 0.60,
 }
+# A regression that is given, not fitted.
+STATED_INTERCEPT = -2.5
+STATED_COEFFICIENTS = [
+    ("transaction_hour", -0.01), ("transaction_amount_usd", 0.0004), ("account_tenure_months", -0.003),
+    ("channel_web", 0.4), ("channel_in_app", 0.25), ("customer_risk_segment_High", 0.9),
+    ("customer_risk_segment_Low", -0.3), ("merchant_risk_rating_High", 0.7), ("is_cross_border_true", 0.5),
+    ("payment_method_bank_transfer", -0.2),
+]
 VALIDATION_FROM, TEST_FROM = "2024-01-21", "2024-01-26"
 
 

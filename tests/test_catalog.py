@@ -11,7 +11,8 @@ from paygrain.catalog.oracle import ORACLE
 from paygrain.catalog.queries import REGISTRY
 
 SMALL = str(TESTDATA / "sf0.001")
-FITTED = {"fraud_lr", "fraud_gbt", "score", "lr_coefficients", "top_coefficients", "model_comparison"}
+# On 145 rows a fit may rank by chance: the largest test table that stays quick.
+FITTED = {"fraud_lr", "fraud_gbt"}
 
 
 @pytest.fixture(scope="module")
@@ -19,12 +20,12 @@ def duck():
     return connect(SMALL)
 
 
-def test_only_fitted_models_lack_a_check():
-    assert set(REGISTRY) - set(ORACLE) == FITTED
+def test_every_query_has_a_check():
+    assert set(REGISTRY) == set(ORACLE)
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE))
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - FITTED))
 def test_query_equals_its_sql(spark, duck, name):
     assert differences(driver.queries()[name](spark, SMALL), duck, ORACLE[name]) == []
 
@@ -34,6 +35,7 @@ def test_entry(spark):
     assert frame.columns[0] == "transaction_date" and frame.count() > 0
 
 
-def test_fitted_models_score_every_test_row(spark):
-    scored = driver.queries()["fraud_lr"](spark, SMALL)
-    assert scored.count() == 145 and scored.where("score BETWEEN 0 AND 1").count() == 145
+@pytest.mark.parametrize("name", sorted(FITTED))
+def test_fitted_models(spark, name):
+    larger = str(TESTDATA / "sf0.01")
+    assert differences(driver.queries()[name](spark, larger), connect(larger), ORACLE[name]) == []

@@ -119,3 +119,20 @@ def test_boosted_model_learns(features):
     scored = modeling.score(model, modeling.read_split(features, "test"))
     assert scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     assert evaluation.roc_auc(scored).first()[0] > 0.55
+
+
+def test_rounds_stop_after_patience():
+    assert modeling.best_round([5.0, 4.0, 4.5, 3.9, 4.0, 4.0, 4.0], 3) == (4, True)
+    assert modeling.best_round([5.0, 4.0, 4.5, 3.9, 4.0, 4.0], 3) == (4, False)
+    assert modeling.best_round([3.0, 3.0, 3.0], 2) == (1, True)
+
+
+def test_stated_scores(features):
+    rows = modeling.read_split(features, "test")
+    found = modeling.stated_score(rows, 0.5, [("transaction_hour", 0.1), ("channel_web", -1.0)])
+    joined = found.join(rows.select("transaction_id", "transaction_hour", "channel"), "transaction_id").collect()
+    for r in joined:
+        z = 0.5 + 0.1 * r.transaction_hour - (r.channel == "web")
+        assert r.score == pytest.approx(1 / (1 + 2.718281828459045**-z))
+    with pytest.raises(ValueError, match="Unknown"):
+        modeling.stated_score(rows, 0.0, [("nothing_x", 1.0)])
