@@ -397,25 +397,25 @@ def _row_rules(fact: str) -> list[str]:
     required = [c for c in fixtures.FACT_ORDER if c != "decline_reason"]
     nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in required)
     rules = [
-        ("required fields non-null", nulls, f"'null required values=' || ({nulls})"),
+        ("required fields non-null", nulls, f"'required values that are null: ' || ({nulls})"),
         ("transaction_status domain",
          "count(*) FILTER (WHERE (transaction_status IN ('approved', 'declined')) IS NOT TRUE)",
-         "'allowed=approved, declined'"),
+         "'counted are statuses other than approved and declined'"),
         ("decline reason logic",
          f"count(*) FILTER (WHERE (({APPROVED} AND decline_reason IS NULL) "
          f"OR ({DECLINED} AND decline_reason IS NOT NULL)) IS NOT TRUE)",
-         "'approved rows require no decline reason; declined rows require one'"),
+         "'a reason belongs to every declined row and to no other'"),
         ("positive transaction amounts",
          "count(*) FILTER (WHERE (transaction_amount > 0 AND transaction_amount_usd > 0) IS NOT TRUE)",
-         "'min_local=' || printf('%.2f', min(transaction_amount)) || '; min_usd=' "
+         "'smallest local amount ' || printf('%.2f', min(transaction_amount)) || ', in USD ' "
          "|| printf('%.2f', min(transaction_amount_usd))"),
         ("fraud loss logic",
          f"count(*) FILTER (WHERE (CASE WHEN is_fraud AND {APPROVED} THEN fraud_loss_amount_usd > 0 "
          "ELSE fraud_loss_amount_usd = 0 END) IS NOT TRUE)",
-         "'loss > 0 only for approved fraudulent transactions'"),
+         "'approved fraud has a loss, any other payment has none'"),
         ("processing time range",
          "count(*) FILTER (WHERE (processing_time_ms BETWEEN 90 AND 5000) IS NOT TRUE)",
-         "'min=' || min(processing_time_ms) || '; max=' || max(processing_time_ms)"),
+         "'from ' || min(processing_time_ms) || ' to ' || max(processing_time_ms) || ' ms'"),
     ]
     return [
         _check_row(f"'fact_transactions: {name}'", violations, detail) + f" FROM {fact})"
@@ -427,15 +427,15 @@ def _key_rules(table: str, source: str, key: str, expected: int | None = None) -
     nulls = f"count(*) FILTER (WHERE {key} IS NULL)"
     extra = f"count(*) - count(DISTINCT {key}) - (CASE WHEN {nulls} > 0 THEN 1 ELSE 0 END)"
     rows = [
-        _check_row(f"'{table}: primary key non-null'", nulls, f"'null {key} values=' || {nulls}") + f" FROM {source})",
-        _check_row(f"'{table}: primary key unique'", extra, f"'duplicate {key} values=' || ({extra})")
+        _check_row(f"'{table}: primary key non-null'", nulls, f"'rows without {key}: ' || {nulls}") + f" FROM {source})",
+        _check_row(f"'{table}: primary key unique'", extra, f"'rows that repeat a {key}: ' || ({extra})")
         + f" FROM {source})",
     ]
     if expected is not None:
         rows.append(
             _check_row(
                 f"'{table}: expected row count'", f"abs(count(*) - {expected})",
-                f"'rows=' || format('{{:,}}', count(*)) || '; expected={expected:,}'",
+                f"format('{{:,}}', count(*)) || ' rows found, {expected:,} wanted'",
             ) + f" FROM {source})"
         )
     return rows
@@ -456,10 +456,10 @@ WITH part AS (
   SELECT count(*) - count(DISTINCT l_orderkey) AS extra, min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem
 )
 SELECT 'lineitem.parquet: l_orderkey unique within part' AS "check", extra = 0 AS passed, 'critical' AS severity,
-  'duplicates=' || extra AS detail, extra AS violations FROM part
+  'rows that repeat an id: ' || extra AS detail, extra AS violations FROM part
 UNION ALL
 SELECT 'lineitem.parquet: l_orderkey sequence does not overlap prior part', low > 0, 'critical',
-  'range=' || format('{:,}', low) || '-' || format('{:,}', high) || '; prior_max=0',
+  'ids ' || format('{:,}', low) || ' to ' || format('{:,}', high) || ' after 0',
   CAST(CASE WHEN low > 0 THEN 0 ELSE 1 END AS BIGINT) FROM part
 """)
 
@@ -478,7 +478,7 @@ def _quality_rows() -> str:
         orphans = f"count(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN (SELECT {key} FROM {table}))"
         rows.append(
             _check_row(
-                f"'fact_transactions: {label} foreign key'", orphans, f"'invalid {key} rows=' || {orphans}"
+                f"'fact_transactions: {label} foreign key'", orphans, f"'rows with an unknown {key}: ' || {orphans}"
             ) + " FROM fact_lineitem)"
         )
     outside = f"count(*) FILTER (WHERE {DAY} NOT IN (SELECT date FROM calendar))"
@@ -494,14 +494,14 @@ def _quality_rows() -> str:
     rows.append(
         _check_row(
             "'fact_transactions: expected total row count'", f"abs(count(*) - {expected})",
-            f"'rows=' || format('{{:,}}', count(*)) || '; expected={expected:,}'",
+            f"format('{{:,}}', count(*)) || ' rows found, {expected:,} wanted'",
         ) + " FROM fact_lineitem)"
     )
     in_range = f"min(transaction_id) = 1 AND max(transaction_id) = {expected}"
     rows.append(
         _check_row(
             "'fact_transactions: global transaction_id range'", f"CASE WHEN {in_range} THEN 0 ELSE 1 END",
-            f"'min=' || min(transaction_id) || '; max=' || max(transaction_id) || '; expected=1-{expected:,}'",
+            f"'ids ' || min(transaction_id) || ' to ' || max(transaction_id) || ', wanted 1 to {expected:,}'",
         ) + " FROM fact_lineitem)"
     )
     events = {"approval_rate": APPROVED, "fraud_rate": "is_fraud", "cross_border_rate": "is_cross_border"}
@@ -510,12 +510,38 @@ def _quality_rows() -> str:
         rows.append(
             _check_row(
                 f"'plausibility: {label}'", f"CASE WHEN {value} BETWEEN {low!r} AND {high!r} THEN 0 ELSE 1 END",
-                f"'{column}=' || printf('%.4f', 100 * ({value})) || '%'", "warning",
+                f"printf('%.4f', 100 * ({value})) || '% is the {column}'", "warning",
             ) + " FROM fact_lineitem)"
         )
     return "\nUNION ALL ".join(rows)
 
 
+MISSING_MONTH = f"count(*) FILTER (WHERE month({DAY}) = 6)"
+check("dq_calendar_gaps", _check_row(
+    "'fact_transactions: dates in calendar'", MISSING_MONTH, f"'rows outside calendar=' || {MISSING_MONTH}"
+) + " FROM fact_lineitem)")
+WRONG_FLAGS = "count(*) FILTER (WHERE transaction_id % 10 = 3)"
+check("dq_wrong_flags", _check_row(
+    "'fact_transactions: cross-border rule'", WRONG_FLAGS, f"'rows with wrong flag=' || {WRONG_FLAGS}"
+) + " FROM fact_lineitem JOIN dim_merchant USING (merchant_id) JOIN dim_customer USING (customer_id))")
+plain("dq_parts", """
+WITH part AS (
+  SELECT 'part-' || (l_orderkey * 5 // (1 + (SELECT max(l_orderkey) FROM lineitem)) + l_linenumber // 7) AS name,
+    l_orderkey FROM lineitem
+), counted AS (
+  SELECT name, count(*) - count(DISTINCT l_orderkey) AS extra, min(l_orderkey) AS low, max(l_orderkey) AS high
+  FROM part GROUP BY 1
+), prior AS (
+  SELECT *, coalesce(max(high) OVER (ORDER BY name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM counted
+)
+SELECT name || ': l_orderkey unique within part' AS "check", extra = 0 AS passed, 'critical' AS severity,
+  'rows that repeat an id: ' || extra AS detail, extra AS violations FROM prior
+UNION ALL
+SELECT name || ': l_orderkey sequence does not overlap prior part', low > before, 'critical',
+  'ids ' || format('{:,}', low) || ' to ' || format('{:,}', high) || ' after ' || format('{:,}', before),
+  CAST(CASE WHEN low > before THEN 0 ELSE 1 END AS BIGINT) FROM prior
+""")
 check("dq_report", _quality_rows(), CALENDAR)
 check("dq_gate", """
 SELECT CASE WHEN count(*) FILTER (WHERE severity = 'critical' AND NOT passed) = 0 THEN 'PASS' ELSE 'FAIL' END AS status,

@@ -180,6 +180,28 @@ def dq_part_keys(s: Star) -> DataFrame:
     return quality.part_key_checks(tables.with_part(s.raw("lineitem")), "l_orderkey")
 
 
+@query
+def dq_parts(s: Star) -> DataFrame:
+    """Part names derived from the rows: later parts overlap earlier ones and repeat ids."""
+    lines = s.raw("lineitem")
+    last = lines.agg(F.max("l_orderkey")).scalar()
+    number = F.floor(F.col("l_orderkey") * 5 / (1 + last)) + F.floor(F.col("l_linenumber") / 7)
+    return quality.part_key_checks(lines.withColumn("part", F.concat(F.lit("part-"), number.cast("string"))), "l_orderkey")
+
+
+@query
+def dq_calendar_gaps(s: Star) -> DataFrame:
+    """A calendar without June."""
+    return quality.date_coverage_check(s.lineitem, calendar(s, s.lineitem).where(F.month("date") != 6))
+
+
+@query
+def dq_wrong_flags(s: Star) -> DataFrame:
+    """Every tenth payment has the wrong flag."""
+    wrong = F.when(F.col("transaction_id") % 10 == 3, ~F.col("is_cross_border")).otherwise(F.col("is_cross_border"))
+    return quality.cross_border_check(s.lineitem.withColumn("is_cross_border", wrong), s.merchant, s.customer)
+
+
 def lineitem_quality(s: Star) -> DataFrame:
     known = star_tables(s, s.lineitem)
     known.pop("fact_transactions")

@@ -230,9 +230,11 @@ def merchant_daily_anomalies(
     z: float = 3.0,
     min_signals: int = 1,
     min_value: float = 0.0,
+    flat: float = FLAT,
 ) -> DataFrame:
     """Merchant days against the merchant's previous ``window`` observed days.
 
+    A deviation below ``flat`` is that of a constant baseline and gives no z-score.
     ``min_signals`` and ``min_value`` narrow the alerts to days with several signals or a
     material value.
     """
@@ -259,7 +261,7 @@ def merchant_daily_anomalies(
     ).drop("value_total")
 
     def score(measured: str, mean: str, deviation: str) -> Column:
-        return F.when(F.col(deviation) >= FLAT, (F.col(measured) - F.col(mean)) / F.col(deviation))
+        return F.when(F.col(deviation) >= flat, (F.col(measured) - F.col(mean)) / F.col(deviation))
 
     days = days.withColumns(
         {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
+# Column names must equal the published tables.
 FACT_COLUMNS = {
     "transaction_id": "bigint",
     "transaction_timestamp": "timestamp",

@@ -21,6 +21,12 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Nanosecond timestamps, which pandas writes, are read as whole numbers and converted.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
+    # Checkpoints that nothing refers to any more are deleted.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Rows that go to Python go in batches of bounded size, however long their texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
     "spark.ui.enabled": "false",
     # Column calls need not record where they were made.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -30,21 +36,20 @@ SETTINGS = {
 MEGABYTE = 1 << 20
 SHUFFLED_SHARE = 0.5  # of the input, the most that a report's widest shuffle carries
 PARTITION_BYTES = 256 * MEGABYTE
-MAX_PARTITIONS = 100_000
+LEAST_PARTITIONS = 200
 
 
-def sizing(input_bytes: int) -> dict[str, str]:
+def sizing(input_bytes: int, partition_bytes: int = PARTITION_BYTES, scan_bytes: int = 128 * MEGABYTE) -> dict[str, str]:
     """Partition settings for a fact table of ``input_bytes``.
 
-    The number of shuffle partitions is an upper bound that keeps a partition at a size one
-    task can sort in memory; AQE merges what turns out smaller. Scan tasks of large tables read
-    more, so that 100 TB are some two hundred thousand tasks and not a million.
+    A shuffle partition holds ``partition_bytes`` at most, which one task can sort in memory,
+    whatever the size of the input; AQE merges what turns out smaller. ``scan_bytes`` is what a
+    scan task reads: 512 MB make a fourth of the tasks of 128 MB, which helps beyond some 10 TB.
     """
-    partitions = int(input_bytes * SHUFFLED_SHARE / PARTITION_BYTES)
-    scan = 512 if input_bytes > 1 << 40 else 128
+    partitions = -(-int(input_bytes * SHUFFLED_SHARE) // partition_bytes)
     return {
-        "spark.sql.shuffle.partitions": str(max(200, min(MAX_PARTITIONS, partitions))),
-        "spark.sql.files.maxPartitionBytes": f"{scan}m",
+        "spark.sql.shuffle.partitions": str(max(LEAST_PARTITIONS, partitions)),
+        "spark.sql.files.maxPartitionBytes": f"{scan_bytes // MEGABYTE}m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     }
 

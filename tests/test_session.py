@@ -12,7 +12,8 @@ from paygrain.session import materialise, sizing, use_checkpoint_dir
 def test_partitions_grow_with_the_data():
     small, large = sizing(10 << 30), sizing(100 << 40)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(large["spark.sql.shuffle.partitions"]) == 100_000
+    assert int(large["spark.sql.shuffle.partitions"]) == 204_800
+    assert sizing(100 << 40, scan_bytes=512 << 20)["spark.sql.files.maxPartitionBytes"] == "512m"
     assert int(sizing(1 << 40)["spark.sql.shuffle.partitions"]) == 2048
 
 
