@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -81,14 +80,14 @@ class Model:
         return self.bias + sum(self.weights[m] for m in self.weights.keys() & found)
 
 
-def fit(sets: Sequence[set[str]], labels: np.ndarray) -> Model:
-    """Sparse logistic regression by follow-the-regularised-leader, in a fixed order."""
+def fit(rows: Sequence[np.ndarray], vocabulary: Sequence[str], labels: np.ndarray) -> Model:
+    """Sparse logistic regression by follow-the-regularised-leader, in a fixed order.
+
+    ``rows`` has the indexes into ``vocabulary`` of each text's marks.
+    """
     positives = float(labels.sum())
     if not 0 < positives < len(labels):
         return Model({}, 0.0)
-    seen = Counter(m for found in sets for m in found)
-    vocabulary = {m: i for i, m in enumerate(sorted(m for m, n in seen.items() if n >= LEAST_TEXTS))}
-    rows = [np.array([vocabulary[m] for m in found if m in vocabulary], dtype=np.int64) for found in sets]
     z, n = np.zeros(len(vocabulary)), np.zeros(len(vocabulary))
     prior = float(np.log(positives / (len(labels) - positives)))
     order = np.random.default_rng(0)
@@ -106,34 +105,51 @@ def fit(sets: Sequence[set[str]], labels: np.ndarray) -> Model:
             z[ids] += gap - sigma * w
             n[ids] += gap * gap
     final = weight(slice(None))
-    return Model({m: float(final[i]) for m, i in vocabulary.items() if final[i]}, 0.0)
+    return Model({m: float(w) for m, w in zip(vocabulary, final, strict=True) if w}, 0.0)
+
 
+def training_sample(
+    docs: DataFrame, labels: DataFrame, names: Sequence[str], most_per_class: int
+) -> tuple[pd.DataFrame, list[str]]:
+    """Marks, as indexes into the vocabulary that is returned too, and labels of a bounded sample.
 
-def training_sample(docs: DataFrame, labels: DataFrame, names: Sequence[str], most_per_class: int) -> pd.DataFrame:
-    """Marks and labels of a bounded sample: per class those with the smallest hashed ids."""
+    Per class the rows with the smallest hashed ids are taken. The driver gets sketches, the
+    vocabulary and indexes, no texts.
+    """
     classes = [row.asDict() for row in labels.select(*names).distinct().limit(1 << len(names)).collect()]
     chosen = None
     for kind in classes:
-        same = [F.col(k) == F.lit(v) for k, v in kind.items()]
-        rows = labels.where(_all(same)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_per_class)
+        rows = labels.where(_all([F.col(k) == F.lit(v) for k, v in kind.items()]))
+        rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_per_class)
         chosen = rows if chosen is None else chosen.unionByName(rows)
     if chosen is None:
-        return pd.DataFrame(columns=["marks", *names])
+        return pd.DataFrame(columns=["at", *names]), []
 
     @pandas_udf("marks array<string>, sketch array<long>")
     def found(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"marks": texts.map(lambda t: sorted(marks(t))), "sketch": texts.map(sketch)})
 
     sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", text_of(F.col("text")).alias("text"), *names)
-    rows = sample.select("doc_id", F.xxhash64("text").alias("hash"), found("text").alias("found"), *names)
-    rows = rows.select("doc_id", "hash", "found.*", *names).toPandas().sort_values(["hash", "doc_id"])
+    sample = sample.select("doc_id", F.xxhash64("text").alias("hash"), found("text").alias("found"), *names)
+    sample = materialise(sample.select("doc_id", "hash", "found.*", *names))
     seen: set[tuple[int, int]] = set()
-    first = []
-    for row in rows["sketch"]:
-        own = set(enumerate(row))
-        first.append(2 * len(own & seen) < SKETCH)
+    first: dict[int, int] = {}
+    for doc, text, own in sample.select("doc_id", "hash", "sketch").orderBy("hash", "doc_id").collect():
+        own = set(enumerate(own))
+        if 2 * len(own & seen) < SKETCH:
+            first.setdefault(text, doc)
         seen |= own
-    return rows[np.array(first, dtype=bool)]
+    kept = docs.sparkSession.createDataFrame(list(first.items()), "hash long, doc_id long")
+    sample = materialise(sample.join(F.broadcast(kept), ["hash", "doc_id"]).dropDuplicates(["hash"]))
+    frequent = sample.select(F.explode("marks").alias("mark")).groupBy("mark").count().where(F.col("count") >= LEAST_TEXTS)
+    vocabulary = [row.mark for row in frequent.orderBy("mark").collect()]
+
+    @pandas_udf("array<int>")
+    def indexes(lists: pd.Series) -> pd.Series:
+        index = {m: i for i, m in enumerate(vocabulary)}
+        return lists.map(lambda own: [index[m] for m in own if m in index])
+
+    return sample.select("hash", indexes("marks").alias("at"), *names).toPandas().sort_values("hash"), vocabulary
 
 
 def sketch(text: str) -> list[int]:
@@ -190,9 +206,9 @@ def scored(
     )
     means = materialise(means)
     whole = means.where(_all([F.col(name).isin(0.0, 1.0) for name in names]))
-    sample = training_sample(docs, whole, names, most_per_class)
-    sets = [set(m) for m in sample["marks"]]
-    models = [fit(sets, sample[name].to_numpy(dtype=float)) for name in names]
+    sample, vocabulary = training_sample(docs, whole, names, most_per_class)
+    found = [np.asarray(at, dtype=np.int64) for at in sample["at"]]
+    models = [fit(found, vocabulary, sample[name].to_numpy(dtype=float)) for name in names]
 
     @pandas_udf("array<double>")
     def evidence(texts: pd.Series) -> pd.Series:
