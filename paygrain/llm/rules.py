@@ -175,10 +175,32 @@ def verdict(features: Features, order: Sequence[Rule]) -> Column:
     return case.otherwise(F.lit(True))
 
 
+def passes(text: Column, order: Sequence[Rule]) -> Column:
+    """``verdict`` of a text that is split into words once for all rules that need them."""
+
+    def with_words(words: Column) -> Column:
+        cheap = F.struct(
+            F.size(words).cast("long").alias("n_words"),
+            F.char_length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        )
+
+        def with_counts(counts: Column) -> Column:
+            def feature(name: str) -> Column:
+                if name in ("n_words", "word_chars"):
+                    return counts[name]
+                return in_repeated_windows(words) if name == "n_repeat_words" else FEATURES[name](text)
+
+            return verdict(feature, order)
+
+        return let(cheap, with_counts)
+
+    return let(word_array(text), with_words)
+
+
 def kept_documents(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects."""
     order = ordered(estimates(docs, rules, sample_rows))
-    return docs.where(verdict(features_of(text_of(F.col("text"))), order))
+    return docs.where(passes(text_of(F.col("text")), order))
 
 
 def judged(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:

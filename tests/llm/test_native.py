@@ -56,8 +56,11 @@ def test_repeated_windows(spark, text, covered):
 
 def test_order_changes_no_verdict(edge_docs):
     features = rules.features_of(F.coalesce("text", F.lit("")))
-    frame = edge_docs.select(rules.verdict(features, rules.RULES), rules.verdict(features, rules.RULES[::-1]))
-    assert all(a == b for a, b in frame.collect())
+    text = F.coalesce("text", F.lit(""))
+    frame = edge_docs.select(
+        rules.verdict(features, rules.RULES), rules.verdict(features, rules.RULES[::-1]), rules.passes(text, rules.RULES)
+    )
+    assert all(a == b == c for a, b, c in frame.collect())
 
 
 def test_rules_are_ordered_by_rejections_per_second():
