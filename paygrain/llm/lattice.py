@@ -98,58 +98,64 @@ class Lattice:
         paths: list[list[float]] = [[] for _ in range(size + 1)]
         paths[0].append(pieces)
         for i in range(size):
-            before, node = log_sum(paths[i]), trie
-            for j in range(i, size):
-                step = node.get(text[j])
-                if step is None:
-                    break
+            into = paths[i]
+            before = into[0] if len(into) == 1 else log_sum(into)
+            step, j = trie.get(text[i]), i + 1
+            if step is None or step[0] is None:
+                paths[j].append(before + sum([log_p[x] for x in self.as_bytes(text[i])]))
+            while step is not None:
                 piece, node = step
                 if piece is not None:
-                    paths[j + 1].append(before + log_p[piece])
-            if not self.alone(text[i]):
-                paths[i + 1].append(before + sum(log_p[x] for x in self.as_bytes(text[i])))
+                    paths[j].append(before + log_p[piece])
+                if j == size:
+                    break
+                step = node.get(text[j])
+                j += 1
         if whole > -math.inf:
             paths[size].append(whole)
         return log_sum(paths[size])
 
-    def alone(self, character: str) -> bool:
-        """Whether the character has a piece of its own."""
-        step = self.trie.get(character)
-        return step is not None and step[0] is not None
-
     def expect(self, word: str, totals: list[float]) -> None:
         """Add the expected uses of each piece in the word to ``totals``."""
         text, log_p, trie, exp = BEGIN + word, self.log_p, self.trie, math.exp
         size = len(text)
-        into: list[list[tuple]] = [[] for _ in range(size + 1)]  # (start, piece or pieces, log of the paths)
+        paths: list[list[float]] = [[] for _ in range(size + 1)]
+        arcs: list[list[tuple]] = [[] for _ in range(size + 1)]  # (start, piece or bytes), one for each path
         alpha = [0.0] * (size + 1)
         for i in range(size):
             if i:
-                alpha[i] = log_sum([path for _, _, path in into[i]])
-            before, node = alpha[i], trie
-            for j in range(i, size):
-                step = node.get(text[j])
-                if step is None:
-                    break
+                into = paths[i]
+                alpha[i] = into[0] if len(into) == 1 else log_sum(into)
+            before = alpha[i]
+            step, j = trie.get(text[i]), i + 1
+            if step is None or step[0] is None:
+                ids = self.as_bytes(text[i])
+                paths[j].append(before + sum([log_p[x] for x in ids]))
+                arcs[j].append((i, ids))
+            while step is not None:
                 piece, node = step
                 if piece is not None:
-                    into[j + 1].append((i, piece, before + log_p[piece]))
-            if not self.alone(text[i]):
-                ids = self.as_bytes(text[i])
-                into[i + 1].append((i, ids, before + sum(log_p[x] for x in ids)))
-        alpha[size] = log_sum([path for _, _, path in into[size]])
+                    paths[j].append(before + log_p[piece])
+                    arcs[j].append((i, piece))
+                if j == size:
+                    break
+                step = node.get(text[j])
+                j += 1
+        alpha[size] = log_sum(paths[size])
         share = [0.0] * size + [1.0]  # of the probability that goes through each position
         for j in range(size, 0, -1):
-            here, total = share[j], alpha[j]
-            if here:
-                for i, piece, path in into[j]:
-                    part = here * exp(path - total)
-                    share[i] += part
-                    if type(piece) is int:
-                        totals[piece] += part
-                    else:
-                        for x in piece:
-                            totals[x] += part
+            here = share[j]
+            if not here:
+                continue
+            total, into = alpha[j], paths[j]
+            for (i, piece), path in zip(arcs[j], into):  # noqa: B905 - of one length
+                part = here if len(into) == 1 else here * exp(path - total)
+                share[i] += part
+                if type(piece) is int:
+                    totals[piece] += part
+                else:
+                    for x in piece:
+                        totals[x] += part
 
 
 def log_sum(values: list[float]) -> float:
@@ -167,6 +173,16 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in one, two or four bytes each, after one that says how many."""
+    width = next(w for w in (1, 2, 4) if not len(values) or int(values.max()) < 1 << (8 * w))
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype=f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def in_training(doc_id: object) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % FOLDS != HELD_OUT
 
@@ -174,7 +190,7 @@ def in_training(doc_id: object) -> bool:
 def blocks(docs: DataFrame) -> DataFrame:
     """One row per document, with indexes into its block's words, and one per block, with those.
 
-    Indexes are ascending and stored as differences, with their counts, as compressed integers.
+    Indexes are ascending and stored as differences, with their counts, in as few bytes as fit.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     own = docs.select("doc_id", docs["text"].cast("string").alias(free_name(docs, "text__")))
@@ -184,9 +200,6 @@ def blocks(docs: DataFrame) -> DataFrame:
         ("at", pa.binary()), ("times", pa.binary()), ("words", pa.list_(pa.string())), ("trained", pa.list_(pa.int64())),
     ]
 
-    def packed(values: np.ndarray) -> bytes:
-        return zlib.compress(values.astype("<u4").tobytes(), 1)
-
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         columns = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], [n for n, _ in kinds])
@@ -207,7 +220,10 @@ def blocks(docs: DataFrame) -> DataFrame:
                 doc, text = doc.as_py(), text.as_py() or ""
                 words = words_of(text)
                 tally = Counter(words)
-                at = np.array([index.setdefault(w, len(index)) for w in tally], dtype=np.int64)
+                for w in tally:
+                    if w not in index:
+                        index[w] = len(index)
+                at = np.fromiter(map(index.__getitem__, tally), dtype=np.int64, count=len(tally))
                 times = np.fromiter(tally.values(), dtype=np.int64, count=len(tally))
                 order = np.argsort(at)
                 at, times = at[order], times[order]
@@ -292,9 +308,6 @@ def scored(docs: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> DataF
     end_base = math.log10((ends + 1) / (n + v + 1))
     end_score = math.log10((1 - new) * (ends + 0.5) / (n + 1))
 
-    def unpacked(data: bytes) -> np.ndarray:
-        return np.frombuffer(zlib.decompress(data), dtype="<u4").astype(np.int64)
-
     def summed(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         size = int(words["at"].max()) + 1 if len(words) else 0
         count, log10 = np.zeros(size, dtype=np.int64), np.zeros(size)
