@@ -8,7 +8,9 @@ the partition ends, pieces of the emptiest open windows are cut to fill the full
 left over is cut into windows whose lengths are powers of two, which need no padding.
 
 Texts are encoded by the merges of a byte-level BPE file through ``tiktoken``, which gives the
-same ids as the ``tokenizers`` library several times faster (tests compare the two). Strings
+same ids as the ``tokenizers`` library several times faster (tests compare the two). Its pattern
+engine gives up on white-space runs of about a million characters, so texts with a run longer
+than ``SAFE_RUN``, and any other that it fails on, are encoded by ``tokenizers`` itself. Strings
 of control tokens inside a text are ordinary text.
 
 Defined cases: a null or empty text is its end id only; a null ``doc_id`` is carried along;
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +29,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from paygrain.llm.common import free_name
 
@@ -34,6 +37,8 @@ WINDOW = 1024
 END_ID = 0
 SEQUENCE_SHIFT = 33  # the windows of a partition are numbered in the lower 33 bits
 ROWS_OUT = 4096
+SAFE_RUN = 100_000
+LONG_RUN = re.compile(rf"(?<!\s)\s{{{SAFE_RUN}}}")  # tried at the start of a run only
 SPECIAL = re.compile(r"<\|\w+\|>")
 PIECES = "start long, length long, doc_tokens long, ids binary, sequence_id long, offset long"
 
@@ -50,6 +55,26 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode_function(path: str) -> Callable[[str], list[int]]:
+    """Text to ids, for texts of any kind; ``tokenizers`` is loaded when a text needs it."""
+    fast, slow = encoder(path).encode_ordinary, None
+
+    def encode(text: str) -> list[int]:
+        nonlocal slow
+        if len(text) < SAFE_RUN or not LONG_RUN.search(text):
+            try:
+                return fast(text)
+            except BaseException as error:  # a panic of the library is no Exception
+                if not isinstance(error, Exception) and type(error).__name__ != "PanicException":
+                    raise
+        if slow is None:
+            slow = Tokenizer.from_file(path)
+            slow.encode_special_tokens = True
+        return slow.encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
 class Levels:
     """Open windows by fill level, and the sum-of-squares choice among them."""
 
@@ -145,7 +170,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     own = docs.select("doc_id", docs["text"].cast("string").alias(free_name(docs, "text__")))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        encode = encoder(tokenizer_path).encode_ordinary
+        encode = encode_function(tokenizer_path)
         for batch in batches:
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 ids = encode(text.as_py() or "")

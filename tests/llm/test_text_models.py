@@ -343,3 +343,32 @@ def test_packing_of_edge_documents(edge_docs, no_docs, edge_rows):
     assert sum(r.start == 0 for r in rows) == len(edge_rows)
     assert packing.pack(no_docs, TOKENIZER).count() == 0
     assert public_tokenizers.path("byte_bpe_50k.json") == TOKENIZER
+
+
+def test_packing_of_very_long_white_space(spark):
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    tokenizer.encode_special_tokens = True
+    words = " ".join(f"word{i}" for i in range(50))
+    texts = [words + gap * 1_200_000 + "<|endoftext|> end" for gap in ("\n", " ")]
+    ids_of = {i: np.array([*tokenizer.encode(t, add_special_tokens=False).ids, 0], dtype="<u4") for i, t in enumerate(texts)}
+    rows = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), TOKENIZER).collect()
+    assert check_pieces(rows, ids_of, 1024) == 0 and {r.doc_id for r in rows} == {0, 1}
+
+
+def test_texts_that_the_fast_encoder_fails_on(monkeypatch):
+    class Failing:
+        def encode_ordinary(self, text):
+            raise type("PanicException", (BaseException,), {})
+
+    text = "a  b <|endoftext|>"
+    expected = packing.encode_function(TOKENIZER)(text)
+    monkeypatch.setattr(packing, "encoder", lambda path: Failing())
+    assert packing.encode_function(TOKENIZER)(text) == expected
+
+
+def test_runs_around_the_safe_length_encode_alike():
+    encode = packing.encode_function(TOKENIZER)
+    other = Tokenizer.from_file(TOKENIZER)
+    for n in (packing.SAFE_RUN - 1, packing.SAFE_RUN, packing.SAFE_RUN + 1):
+        text = "a" + "\n" * n + "b" + " " * (n - 1)
+        assert encode(text) == other.encode(text, add_special_tokens=False).ids
