@@ -2,8 +2,10 @@
 
 A block is the text between two tags of block elements; inline tags leave it in one piece and
 line breaks are white space. Character references are decoded, white space is one space. Scripts,
-styles and other elements whose content is not text on the page give none. Open elements are
-closed where the end tag is missing, as far as paths need it.
+styles and other raw text give none, up to the end of the page where their end tag is missing.
+Templates and ``noscript`` give none if they are closed; where no end tag follows, the page goes on
+after the start tag. Formulas, drawings and what embedded media hold are text of the block they
+stand in. Open elements are closed where the end tag is missing, as far as paths need it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ TAG = re.compile(
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 PARTS = re.compile(r"[a-z]+")
-HIDDEN = frozenset("script style template noscript iframe textarea title svg math object canvas audio video".split())
+RAW = frozenset("script style textarea title iframe".split())
+HIDDEN = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in (*RAW, "template", "noscript")}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption "
@@ -57,6 +60,7 @@ def blocks_of(page: str) -> list[Block]:
     path: list[tuple[str, ...]] = []
     texts: list[str] = []
     links: list[int] = []
+    endless: set[str] = set()  # hidden elements of which no end tag follows
     in_link, at = False, 0
 
     def close_block() -> None:
@@ -97,9 +101,14 @@ def blocks_of(page: str) -> list[Block]:
             elif tag == "a":
                 in_link = False
         elif tag in HIDDEN:
-            if not match[3].endswith("/") or tag in ("script", "style"):
-                ending = re.compile(f"</{tag}", re.I).search(page, at)
-                at = ending.start() if ending else len(page)
+            if tag not in endless and (not match[3].endswith("/") or tag in ("script", "style")):
+                ending = HIDDEN[tag].search(page, at)
+                if ending:
+                    at = ending.start()
+                elif tag in RAW:
+                    at = len(page)
+                else:
+                    endless.add(tag)
         elif tag in BLOCK:
             close_block()
             if tag not in VOID:

@@ -44,6 +44,17 @@ def test_blocks():
     assert nested[1].path == (("article", ".main"), ("p",)) and nested[1].linked == 0
 
 
+def test_only_raw_text_hides_the_rest_of_a_page():
+    for tag in ("svg", "math", "object", "canvas", "audio", "video", "template", "noscript"):
+        assert texts(f"<p>a</p><{tag} id=x><article><p>b</p><{tag}><p>c") == ["a", "b", "c"]
+    for tag in ("svg", "math", "object", "canvas", "audio", "video"):
+        assert texts(f"<p>a <{tag}>b <i>c</i></{tag}> d<p>e") == ["a b c d", "e"]
+    for tag in ("script", "style", "title", "textarea", "iframe"):
+        assert texts(f"<p>a</p><{tag}>b</{tag}s><p>c</{tag} ><p>d<{tag}>e<p>f") == ["a", "d"]
+    assert texts("<p>a<template><p>b</template>c<noscript><p>d</noscript >e") == ["ace"]
+    assert texts("<article><p>" + "<template>a" * 100_000) == ["a" * 100_000]
+
+
 def test_labeller_gradient():
     rng = np.random.default_rng(0)
     rows = [rng.standard_normal((n, extraction.SIZE)).astype(np.float32) * 0.1 for n in (3, 5)]
