@@ -258,38 +258,46 @@ def connected(links: DataFrame) -> DataFrame:
         labels = after.drop("was")
 
 
-def near_duplicates(
+def grouped(
     docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, max_trie: int = MAX_TRIE
-) -> DataFrame:
-    """(doc_id, text_hash, fingerprint, component_id), one row per document.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, text_hash, fingerprint) per document, (fingerprint, root) and (root, first) per group.
 
-    ``text_hash`` (XXH64 of the text) tells rows with one ``doc_id`` apart; ``fingerprint`` is 16
-    hex digits; ``component_id`` is the smallest ``doc_id`` that links lead to.
+    ``first`` is the smallest (doc_id, text_hash) of the group, ids that are null last.
     """
     text_hash = F.xxhash64(text_of(F.col("text"))).alias("text_hash")
     marked = materialise(
         docs.select("doc_id", text_hash, fingerprint_of(F.col("text"), shingle_words).alias("fingerprint"))
     )
-    distinct = materialise(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first_id")))
+    pair = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    distinct = materialise(marked.groupBy("fingerprint").agg(F.min(pair).alias("first")))
     roots = connected(near_links(distinct.select("fingerprint"), max_bits, max_trie))
     rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = materialise(rooted)
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    groups = lookup(rooted.select("fingerprint", "root"), smallest, ["root"], ["fingerprint"])
+    return marked, rooted.select("fingerprint", "root"), rooted.groupBy("root").agg(F.min("first").alias("first"))
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """(doc_id, text_hash, fingerprint, component_id), one row per document.
+
+    ``text_hash`` (XXH64 of the text) tells rows with one ``doc_id`` apart; ``fingerprint`` is 16
+    hex digits; ``component_id`` is the smallest ``doc_id`` that links lead to.
+    """
+    marked, rooted, first = grouped(docs, **how)
+    smallest = first.select("root", F.col("first.doc_id").alias("component_id"))
+    groups = lookup(rooted, smallest, ["root"], ["fingerprint"])
     found = lookup(marked, groups.select("fingerprint", "component_id"), ["fingerprint"], ["doc_id", "text_hash"])
     hexed = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
     return found.select("doc_id", "text_hash", hexed.alias("fingerprint"), "component_id")
 
 
 def one_of_each_group(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` whose id names their group, once where a row is repeated.
+    """One row of ``docs`` per group: that with the smallest id, of equal ids the smallest text hash.
 
-    Rows without an id stay if their group has no id either, one for each text.
+    A group without ids keeps the row with the smallest text hash.
     """
-    groups = near_duplicates(docs, **how)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("stay__"), F.col("text_hash").alias("hash__")
-    ).distinct()
+    _, _, first = grouped(docs, **how)
+    stay = first.select(F.col("first.doc_id").alias("stay__"), F.col("first.text_hash").alias("hash__"))
     text_hash = F.xxhash64(text_of(F.col("text")))
     kept = docs.withColumn("own__", text_hash).join(
         stay, F.col("doc_id").eqNullSafe(F.col("stay__")) & (F.col("own__") == F.col("hash__")), "left_semi"

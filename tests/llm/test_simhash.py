@@ -124,3 +124,17 @@ def test_edge_documents(edge_docs, no_docs, edge_rows):
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == len(set(ids)) and {1, 2, 5, 7, 8, None} <= set(ids) and 6 not in ids and 3 not in ids
     assert simhash.near_duplicates(no_docs).count() == 0 and simhash.one_of_each_group(no_docs).count() == 0
+
+
+def test_repeated_and_null_ids_keep_one_row_of_a_group(spark):
+    words = [[f"t{g}w{i}" for i in range(80)] for g in range(5)]
+    rows = [
+        *((1, case(" ".join(words[0]))) for case in (str, str.upper, str.title)),
+        *((None, case(" ".join(words[1]))) for case in (str, str.upper, str.title)),
+        (None, " ".join(words[2])), (None, " ".join(words[2])),
+        (None, " ".join(words[3])), (4, " ".join(words[3]).upper()), (4, " ".join(words[3]).title()), (5, " ".join(words[3])),
+        (1, " ".join(words[4])), (6, " ".join(words[4]).upper()),
+    ]
+    kept = simhash.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((r.text.split()[0].lower(), r.doc_id) for r in kept)
+    assert found == [("t0w0", 1), ("t1w0", None), ("t2w0", None), ("t3w0", 4), ("t4w0", 1)]
