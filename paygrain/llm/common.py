@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paygrain.session import use_checkpoint_dir
+
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 GAP_CHARACTERS = " \t\n\x0b\x0c\r"
@@ -64,3 +67,29 @@ def free_name(frame: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish += "_"
     return wish
+
+
+class Scratch:
+    """Tables in a folder of their own beside the checkpoints, deleted when the block ends, on failure too.
+
+    A frame read back from such a table starts anew: no lineage, and none of the constraints that
+    the optimizer carries from one checkpoint to the next and that grow in loops.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        use_checkpoint_dir(spark)
+        self.spark, self.made = spark, 0
+        self.folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def table(self, frame: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{self.made}"
+        self.made += 1
+        frame.write.parquet(path)
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import bayes, chat, exact, extraction, lattice, lines, mixing, packing, rules, simhash
+from paygrain.llm import bayes, chat, exact, extraction, lattice, lines, mixing, packing, rules, simhash, tries
 from paygrain.llm.common import documents, text_of
+from paygrain.session import materialise
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -92,3 +93,21 @@ def op9_packing(spark: SparkSession, directory: str) -> DataFrame:
 def op10_source_mixing(spark: SparkSession, directory: str) -> DataFrame:
     chosen = mixing.mix(documents(spark, directory).select("doc_id", "source", "text"))
     return chosen.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
+def rebuilt(turns: DataFrame, everyone: DataFrame) -> DataFrame:
+    """Conversation c as the first crc32(c) mod 9 turns of c - c % 5, then its own turns after as many."""
+    heads = everyone.select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("of"),
+        (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h"),
+    )
+    first = heads.where("h > 0").join(turns.where("place < 8").withColumnRenamed("conv_id", "of"), "of").where("place < h")
+    rest = turns.join(heads.select("conv_id", "h"), "conv_id").where("place >= h")
+    return first.select(*turns.columns).unionByName(rest.select(*turns.columns))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, directory: str) -> DataFrame:
+    turns = materialise(tries.digested(spark.read.parquet(f"{directory}/conversations.parquet")))
+    everyone = turns.where("place = 0").select("conv_id")
+    return tries.prefix_trie(rebuilt(turns, everyone), everyone).drop("key", "parent")
