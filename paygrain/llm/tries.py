@@ -5,12 +5,12 @@ hashed bits per turn (120 bits that depend on every turn and its place), which a
 for all prefixes at once; texts are read once and never moved.
 
 ``subtree_totals`` adds figures up over subtrees without walking down them. Each round of joins
-rakes all leaves into their parents and, at the same time, compresses chains: of nodes with a
-single child, those whose hash is larger than their neighbours' in the chain hand their sum to
-their child as an extra for the parent above, and leave. So bushes and chains of any depth shrink
-by a constant share each round. What left last is then put back first: a compressed node's total
-is that of its child plus what it handed over. All joins are on node keys that are there once on
-both sides; what goes to a parent with many children is summed in the tasks first.
+rakes all leaves into their parents and, at the same time, compresses chains: a random part of the
+nodes with a single child, no two of them neighbours, hand their sum to their child as an extra for
+the parent above, and leave. So bushes and chains of any depth shrink by a constant share each
+round. Then the contracted nodes are put back: a node's total is that of its child plus what it
+handed over, added up along the children by joins that halve the way. Nodes tell each other by
+messages that are aggregated by key, in the tasks first: a parent of many is no hot key.
 
 Defined cases: a null role or text is empty; turns are ordered with null first, equal ones by role
 and text, and repeated rows are turns of their own; rows without ``conv_id`` belong to no
@@ -32,7 +32,6 @@ from paygrain.llm.common import Scratch, lookup, text_of
 from paygrain.session import materialise
 
 PIECES, PIECE_BITS = 3, 40  # sums of 2^23 turns still fit a long
-NO_CHILDREN = "n_below IS NULL"
 
 
 def digested(conversations: DataFrame) -> DataFrame:
@@ -79,67 +78,91 @@ def subtree_totals(nodes: DataFrame, names: list[str]) -> DataFrame:
 
     ``nodes`` has key, parent (null: a root) and the columns to sum; any number of trees.
     """
+    extras = [f"extra_{n}" for n in names]
     with Scratch(nodes.sparkSession, "tries") as scratch:
-        return materialise(contracted(nodes, names, scratch))
+        alive = nodes.select("key", "parent", *names, *(F.lit(0).cast("long").alias(e) for e in extras))
+        raked, spliced = [], []
+        while True:
+            state = scratch.table(contracted(alive, names, extras, len(raked)))
+            raked.append(state.where("raked").select("key", *names))
+            alive = state.where("NOT raked AND NOT spliced").select("key", "parent", *names, *extras)
+            if not alive.limit(1).count():
+                break
+            spliced.append(state.where("spliced").select("key", "child", *(F.col(f"handed_{n}").alias(n) for n in names)))
+        found = reduce(DataFrame.unionAll, raked)
+        if spliced:
+            found = found.unionAll(expanded(reduce(DataFrame.unionAll, spliced), found, names, scratch))
+        return materialise(found)
+
+
+def contracted(alive: DataFrame, names: list[str], extras: list[str], number: int) -> DataFrame:
+    """One round of rake and compress: what has become of each node, by two exchanges of messages.
+
+    ``raked``: a leaf, whose sums went to its parent. ``spliced``: a node with a single child, not
+    a leaf, that tossed heads while the child is not such a node with heads, so that no two
+    neighbours leave at once; its child carries its sums up as extras and has its parent from now
+    on, and ``handed_x`` is what the node adds to its child's total.
+    """
+    blank = {c: F.lit(None).cast(t) for c, t in alive.dtypes}
+    own = alive.withColumns({"n_below": F.lit(0), "child": F.lit(None).cast("binary")})
+    up = alive.where("parent IS NOT NULL").select(
+        *(F.col("parent").alias("key") if c == "key" else value.alias(c) for c, value in blank.items()),
+        F.lit(1).alias("n_below"), F.col("key").alias("child"),
+    )
+    state = own.unionAll(up).groupBy("key").agg(
+        *(F.max(c).alias(c) for c in alive.columns[1:]), F.sum("n_below").alias("n_below"), F.min("child").alias("child")
+    )
+    heads = (F.col("n_below") == 1) & F.col("parent").isNotNull() & (F.pmod(F.xxhash64("key", F.lit(number)), F.lit(2)) == 0)
+    state = state.withColumn("heads", heads)
+    given, under, more = ([f"{word}_{n}" for n in names] for word in ("given", "under", "more"))
+    no_sums = [F.lit(None).cast("long").alias(c) for c in [*given, *under, *more]]
+    to_self = [F.lit(None).cast("boolean").alias("under_heads"), F.lit(0).alias("n_inner"), F.lit(None).cast("boolean").alias("over_heads"), F.lit(None).cast("binary").alias("above")]
+    own_part = state.select("*", *to_self, *no_sums)
+
+    def message(rows: DataFrame, to: str, values: dict) -> DataFrame:
+        return rows.select(*(
+            F.col(to).alias("key") if c == "key" else values.get(c, F.lit(None)).cast(t).alias(c) for c, t in own_part.dtypes
+        ))
+
+    leaf, to_parent = F.col("n_below") == 0, state.where("parent IS NOT NULL")
+    sums = {f"given_{n}": F.when(leaf, F.col(n) + F.col(e)) for n, e in zip(names, extras, strict=True)}
+    sums |= {f"under_{n}": F.when(~leaf, F.col(e)) for n, e in zip(names, extras, strict=True)}
+    upward = message(to_parent, "parent", {"under_heads": F.when(~leaf, F.col("heads")), "n_inner": F.when(leaf, 0).otherwise(1), **sums})
+    carried = {f"more_{n}": F.col(n) + F.col(e) for n, e in zip(names, extras, strict=True)}
+    downward = message(state.where("heads"), "child", {"over_heads": F.lit(True), "above": F.col("parent"), **carried})
+    told = own_part.unionAll(upward).unionAll(downward).groupBy("key").agg(
+        *(F.max(c).alias(c) for c in ["parent", *names, *extras, "n_below", "child", "heads", "under_heads", "over_heads", "above", *under, *more]),
+        F.sum("n_inner").alias("n_inner"), *(F.sum(c).alias(c) for c in given),
+    )
+    raked = F.col("n_below") == 0
+    spliced = F.col("heads") & (F.col("n_inner") == 1) & ~F.col("under_heads")
+    moved = F.coalesce("over_heads", F.lit(False)) & ~raked & ~F.col("heads")
+    return told.select(
+        "key", F.when(moved, F.col("above")).otherwise(F.col("parent")).alias("parent"), "child",
+        *(added(n, f"given_{n}").alias(n) for n in names),
+        *((F.col(e) + F.when(moved, F.col(f"more_{n}")).otherwise(0)).alias(e) for n, e in zip(names, extras, strict=True)),
+        raked.alias("raked"), F.coalesce(spliced, F.lit(False)).alias("spliced"),
+        *((F.col(n) + F.col(f"under_{n}")).alias(f"handed_{n}") for n in names),
+    )
 
 
-def contracted(nodes: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
-    extras = [f"extra_{n}" for n in names]
-    alive = nodes.select("key", "parent", *names, *(F.lit(0).cast("long").alias(e) for e in extras))
-    raked, spliced = [], []
+def expanded(spliced: DataFrame, raked: DataFrame, names: list[str], scratch: Scratch) -> DataFrame:
+    """Totals of the nodes that left chains: what each handed over, added up along the children.
+
+    A child that was raked has its total; one that left later hands on in turn. Ways of children
+    are halved by joining them to themselves.
+    """
+    ways = scratch.table(spliced)
     while True:
-        below = alive.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key"))
-        below = below.agg(F.count("*").alias("n_below"), F.min("key").alias("child"))
-        state = scratch.table(alive.join(below, "key", "left"))
-        leaves = state.where(NO_CHILDREN)
-        raked.append(leaves.select("key", *names))
-        if not state.where("n_below IS NOT NULL").limit(1).count():
+        on = ways.select(F.col("key").alias("child"), F.col("child").alias("next"), *(F.col(n).alias(f"on_{n}") for n in names))
+        ways = scratch.table(ways.join(on, "child", "left").select(
+            "key", F.coalesce("next", "child").alias("child"), *(added(n, f"on_{n}").alias(n) for n in names),
+            F.col("next").isNotNull().alias("further"),
+        ))
+        if not ways.where("further").limit(1).count():
             break
-        given = leaves.where("parent IS NOT NULL").groupBy(F.col("parent").alias("key"))
-        given = given.agg(*(F.sum(F.col(n) + F.col(e)).alias(f"given_{n}") for n, e in zip(names, extras, strict=True)))
-        gone = scratch.table(compressed(state, names, extras, len(spliced)))
-        spliced.append(gone.select("key", "child", *(F.col(f"handed_{n}").alias(n) for n in names)))
-        moved = gone.select(
-            F.col("child").alias("key"), F.col("parent").alias("above"), F.lit(True).alias("moved"),
-            *(F.col(f"own_{n}").alias(f"more_{n}") for n in names),
-        )
-        left = state.where("n_below IS NOT NULL").join(gone.select("key"), "key", "left_anti")
-        alive = left.join(given, "key", "left").join(moved, "key", "left").select(
-            "key", F.when(F.col("moved"), F.col("above")).otherwise(F.col("parent")).alias("parent"),
-            *(added(n, f"given_{n}").alias(n) for n in names),
-            *(added(e, f"more_{n}").alias(e) for n, e in zip(names, extras, strict=True)),
-        )
-    totals = [reduce(DataFrame.unionAll, raked)]
-    for gone in reversed(spliced):
-        known = reduce(DataFrame.unionAll, totals).withColumnsRenamed({"key": "child", **{n: f"child_{n}" for n in names}})
-        again = gone.join(known, "child").select("key", *((F.col(n) + F.col(f"child_{n}")).alias(n) for n in names))
-        totals.append(scratch.table(again))
-    return reduce(DataFrame.unionAll, totals)
-
-
-def compressed(state: DataFrame, names: list[str], extras: list[str], number: int) -> DataFrame:
-    """The nodes that leave a chain in this round: no two of them neighbours, none above a leaf or a root itself.
-
-    ``own_x`` is what the child has to carry up in their place, ``handed_x`` what they add to their
-    child's total.
-    """
-    rank = F.xxhash64("key", F.lit(number))
-    # Ranks are distinct but for a collision of 64 bits, which makes neither node leave.
-    single = state.where("n_below = 1 AND parent IS NOT NULL").withColumn("rank", rank)
-    over = single.select(F.col("child").alias("key"), F.col("rank").alias("over"), F.lit(True).alias("in_chain"))
-    # Rows whose parent has a single child: unique by parent, so they can report to it.
-    reported = state.join(over, "key").where("n_below IS NOT NULL").select(
-        F.col("parent").alias("key"),
-        F.when(F.col("n_below") == 1, rank).alias("under"),
-        *(F.col(e).alias(f"child_{e}") for e in extras),
-    )
-    own = single.join(over.drop("in_chain"), "key", "left").join(reported, "key")
-    largest = (F.col("over").isNull() | (F.col("rank") > F.col("over"))) & (F.col("under").isNull() | (F.col("rank") > F.col("under")))
-    return own.where(largest).select(
-        "key", "parent", "child",
-        *((F.col(n) + F.col(e)).alias(f"own_{n}") for n, e in zip(names, extras, strict=True)),
-        *((F.col(n) + F.col(f"child_{e}")).alias(f"handed_{n}") for n, e in zip(names, extras, strict=True)),
-    )
+    ends = raked.withColumnsRenamed({"key": "child", **{n: f"end_{n}" for n in names}})
+    return ways.join(ends, "child").select("key", *((F.col(n) + F.col(f"end_{n}")).alias(n) for n in names))
 
 
 def ends_digest(ends: DataFrame) -> DataFrame:
