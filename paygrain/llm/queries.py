@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paygrain.llm import bayes, chat, exact, extraction, lattice, lines, mixing, packing, rules, runs, simhash, tries
+from paygrain.llm import bayes, chat, exact, extraction, jaccard, lattice, lines, mixing, packing, rules, runs, simhash, tries
 from paygrain.llm.common import documents, text_of
 from paygrain.session import materialise
 
@@ -95,6 +95,11 @@ def op10_source_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return chosen.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
 
 
+@query
+def op11_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    return jaccard.joined(documents(spark, directory)).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op12_periodic_runs(spark: SparkSession, directory: str) -> DataFrame:
     return runs.run_digests(runs.find_runs(documents(spark, directory), runs.with_planted_runs))
