@@ -113,6 +113,8 @@ def training_sample(
 ) -> tuple[pd.DataFrame, list[str]]:
     """Marks, as indexes into the vocabulary that is returned too, and labels of a bounded sample.
 
+    ``labels`` has ``doc_id`` and ``names``; of ``docs`` only the id and the text are read.
+
     Per class the rows with the smallest hashed ids are taken. The driver gets sketches, the
     vocabulary and indexes, no texts.
     """
@@ -129,7 +131,8 @@ def training_sample(
     def found(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame({"marks": texts.map(lambda t: sorted(marks(t))), "sketch": texts.map(sketch)})
 
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", text_of(F.col("text")).alias("text"), *names)
+    texts = docs.select("doc_id", text_of(F.col("text")).alias("text"))
+    sample = texts.join(F.broadcast(chosen), "doc_id")
     sample = sample.select("doc_id", F.xxhash64("text").alias("hash"), found("text").alias("found"), *names)
     sample = materialise(sample.select("doc_id", "hash", "found.*", *names))
     seen: set[tuple[int, int]] = set()
@@ -139,7 +142,8 @@ def training_sample(
         if 2 * len(own & seen) < SKETCH:
             first.setdefault(text, doc)
         seen |= own
-    kept = docs.sparkSession.createDataFrame(list(first.items()), "hash long, doc_id long")
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    kept = docs.sparkSession.createDataFrame(list(first.items()), f"hash long, doc_id {id_type}")
     sample = materialise(sample.join(F.broadcast(kept), ["hash", "doc_id"]).dropDuplicates(["hash"]))
     frequent = sample.select(F.explode("marks").alias("mark")).groupBy("mark").count().where(F.col("count") >= LEAST_TEXTS)
     vocabulary = [row.mark for row in frequent.orderBy("mark").collect()]
@@ -205,10 +209,13 @@ def scored(
         *(F.avg(F.col(name).cast("double")).alias(name) for name in names)
     )
     means = materialise(means)
-    whole = means.where(_all([F.col(name).isin(0.0, 1.0) for name in names]))
-    sample, vocabulary = training_sample(docs, whole, names, most_per_class)
-    found = [np.asarray(at, dtype=np.int64) for at in sample["at"]]
-    models = [fit(found, vocabulary, sample[name].to_numpy(dtype=float)) for name in names]
+    models = []
+    for name in names:
+        # Every label is learned from all rows that carry it, whatever other labels they have.
+        carried = means.where(F.col(name).isin(0.0, 1.0)).select("doc_id", name)
+        sample, vocabulary = training_sample(docs, carried, [name], most_per_class)
+        found = [np.asarray(at, dtype=np.int64) for at in sample["at"]]
+        models.append(fit(found, vocabulary, sample[name].to_numpy(dtype=float)))
 
     @pandas_udf("array<double>")
     def evidence(texts: pd.Series) -> pd.Series:

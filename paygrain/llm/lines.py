@@ -13,7 +13,8 @@ and 4 dropped, the rest is kept; []: all are kept).
 
 Defined cases: a null or empty text is one empty line; rows that repeat a ``doc_id`` count as
 one document among the holders of a line, and each has the bitmap of its own text; a null
-``doc_id`` ranks behind all others; an empty table gives an empty result.
+``doc_id`` ranks behind all others; an empty table gives an empty result; other columns keep their
+values, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paygrain.llm.common import GAP_CHARACTERS, ascii_lower, let, lookup, text_of
+from paygrain.llm.common import GAP_CHARACTERS, ascii_lower, free_name, let, lookup, text_of
 from paygrain.session import materialise
 
 LEAST_CHARS = 40
@@ -107,19 +108,20 @@ def kept_lines(lines: Column, flips: Column) -> Column:
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with the kept lines as ``text`` and a last column ``n_dropped__``.
+    """``docs`` with the kept lines as ``text`` and, as last column, the number of dropped lines.
 
-    Only bitmaps that drop something are joined; other texts, null ones too, stay as they are.
+    That column is ``n_dropped__``, or a variant of it that ``docs`` does not have. Only bitmaps
+    that drop something are joined; other texts, null ones too, stay as they are.
     """
+    doc, hashed, flips, dropped = (free_name(docs, wish) for wish in ("id__", "hash__", "flips__", "n_dropped__"))
     marks = bitmaps.where("n_dropped > 0").select(
-        F.col("doc_id").alias("id__"), F.col("text_hash").alias("hash__"), "keep_flips", "n_dropped"
+        F.col("doc_id").alias(doc), F.col("text_hash").alias(hashed),
+        F.col("keep_flips").alias(flips), F.col("n_dropped").alias(dropped),
     )
-    marks = marks.withColumnsRenamed({"keep_flips": "flips__", "n_dropped": "n_dropped__"})
-    of = docs["doc_id"].eqNullSafe(marks["id__"]) & (F.xxhash64(text_of(docs["text"])) == marks["hash__"])
+    of = docs["doc_id"].eqNullSafe(marks[doc]) & (F.xxhash64(text_of(docs["text"])) == marks[hashed])
     joined = docs.join(marks, of, "left")
-    kept = F.array_join(kept_lines(line_array(F.col("text")), F.col("flips__")), "\n")
+    kept = F.array_join(kept_lines(line_array(F.col("text")), F.col(flips)), "\n")
+    text = F.when(F.col(flips).isNull(), F.col("text")).otherwise(kept).alias("text")
     return joined.select(
-        *[c for c in docs.columns if c != "text"],
-        F.when(F.col("flips__").isNull(), F.col("text")).otherwise(kept).alias("text"),
-        F.coalesce("n_dropped__", F.lit(0).cast("long")).alias("n_dropped__"),
-    ).select(*docs.columns, "n_dropped__")
+        *(text if c == "text" else F.col(c) for c in docs.columns), F.coalesce(dropped, F.lit(0).cast("long")).alias(dropped)
+    )

@@ -9,7 +9,8 @@ source with a third of all rows is a few thousand partial sums per task.
 
 Defined cases: a null text has no words; a null source is a source, the last one; rows that
 share a ``doc_id`` (null included) share a hash and are taken or left together; documents
-without words are never taken; an empty table gives an empty mix.
+without words are never taken; an empty table gives an empty mix; other columns keep their values,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -162,4 +163,4 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     chosen = mix(docs, **how)
     times = F.sequence(F.lit(1).cast("long"), F.col(chosen.columns[-1])["copies"])
     copies = chosen.where(F.col(chosen.columns[-1])["copies"] > 0)
-    return copies.select(*docs.columns, F.explode(times).alias("copy__")).select(*docs.columns)
+    return copies.select(*docs.columns, F.explode(times).alias(free_name(docs, "copy__"))).select(*docs.columns)

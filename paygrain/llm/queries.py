@@ -39,7 +39,7 @@ def op3_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = documents(spark, directory).select("doc_id", "text")
     kept = lines.apply_bitmaps(docs.withColumn("n_lines", F.size(lines.line_array(F.col("text")))), lines.line_bitmaps(docs))
     return kept.select(
-        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_dropped__").alias("n_dropped"),
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col(kept.columns[-1]).alias("n_dropped"),
         F.sha2(text_of(F.col("text")), 256).alias("kept_sha256"),
     )
 

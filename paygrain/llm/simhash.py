@@ -15,7 +15,8 @@ the smallest label until nothing changes.
 
 Defined cases: a null text, and one without words, has the fingerprint zero and is linked like
 any other; a text shorter than a shingle is one shingle; a null ``doc_id`` never names a group
-that has another id; an empty table gives an empty result.
+that has another id; an empty table gives an empty result; other columns keep their values, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from paygrain.llm.common import lookup, text_of
+from paygrain.llm.common import free_name, lookup, text_of
 from paygrain.session import materialise
 
 SHINGLE_WORDS = 3
@@ -297,9 +298,9 @@ def one_of_each_group(docs: DataFrame, **how) -> DataFrame:
     A group without ids keeps the row with the smallest text hash.
     """
     _, _, first = grouped(docs, **how)
-    stay = first.select(F.col("first.doc_id").alias("stay__"), F.col("first.text_hash").alias("hash__"))
-    text_hash = F.xxhash64(text_of(F.col("text")))
-    kept = docs.withColumn("own__", text_hash).join(
-        stay, F.col("doc_id").eqNullSafe(F.col("stay__")) & (F.col("own__") == F.col("hash__")), "left_semi"
+    own, id_name, hash_name = (free_name(docs, wish) for wish in ("own__", "stay__", "hash__"))
+    stay = first.select(F.col("first.doc_id").alias(id_name), F.col("first.text_hash").alias(hash_name))
+    kept = docs.withColumn(own, F.xxhash64(text_of(F.col("text")))).join(
+        stay, F.col("doc_id").eqNullSafe(F.col(id_name)) & (F.col(own) == F.col(hash_name)), "left_semi"
     )
-    return kept.dropDuplicates(["doc_id", "own__"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", own]).select(*docs.columns)
