@@ -29,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, directory: str) -> DataF
 def line_dedup(spark: SparkSession, docs: DataFrame, directory: str) -> DataFrame:
     """Documents without the lines that others repeat; ``n_chars`` is that of the new text."""
     kept = lines.apply_bitmaps(docs, lines.line_bitmaps(docs))
-    n_chars = F.when(F.col("n_dropped__") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+    n_chars = F.when(F.col(kept.columns[-1]) > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
