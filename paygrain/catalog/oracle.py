@@ -393,6 +393,12 @@ def _check_row(name: str, violations: str, detail: str, severity: str = "critica
     )
 
 
+FINER = "count(*) FILTER (WHERE " + " OR ".join(
+    f"coalesce(abs({c} - CAST(CAST({c} AS DECIMAL(18,6)) AS DOUBLE)) > 1e-9 * greatest(1e0, abs({c})), FALSE)"
+    for c in ("transaction_amount", "transaction_amount_usd", "fraud_loss_amount_usd")
+) + ")"
+
+
 def _row_rules(fact: str) -> list[str]:
     required = [c for c in fixtures.FACT_ORDER if c != "decline_reason"]
     nulls = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in required)
@@ -416,6 +422,7 @@ def _row_rules(fact: str) -> list[str]:
         ("processing time range",
          "count(*) FILTER (WHERE (processing_time_ms BETWEEN 90 AND 5000) IS NOT TRUE)",
          "'from ' || min(processing_time_ms) || ' to ' || max(processing_time_ms) || ' ms'"),
+        ("money digits", FINER, f"'rows with an amount finer than 6 digits, which sums would round: ' || ({FINER})"),
     ]
     return [
         _check_row(f"'fact_transactions: {name}'", violations, detail) + f" FROM {fact})"

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from paygrain.functions import dates, metrics
 from paygrain.functions.dates import transaction_date
 from paygrain.functions.measures import measure
-from paygrain.functions.money import dollars, exact, finer_than_money
+from paygrain.functions.money import dollars, finer_than_money, money_sums
 from paygrain.operators import enrich, evaluation, modeling, ordering, quality
 from paygrain.plans import reports, views
 from paygrain.sources import fixtures, tables
@@ -134,11 +134,12 @@ def part_manifest(s: Star) -> DataFrame:
 def sub_cent_value(s: Star) -> DataFrame:
     """Sums of amounts with four decimals, and how many rows an exact sum would round."""
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
-    return s.raw("lineitem").groupBy("l_returnflag").agg(
-        dollars(F.sum(exact(net))).alias("net_value"),
+    summed = s.raw("lineitem").groupBy("l_returnflag").agg(
+        *(total.alias(name) for name, total in money_sums(net, "net").items()),
         F.count_if(finer_than_money(net)).alias("rounded_rows"),
         F.count_if(finer_than_money(net, 2)).alias("rows_finer_than_cents"),
     )
+    return summed.select("l_returnflag", dollars("net").alias("net_value"), "rounded_rows", "rows_finer_than_cents")
 
 
 @query
@@ -241,7 +242,7 @@ def season_weights(s: Star) -> DataFrame:
 
 @query
 def market_share(s: Star) -> DataFrame:
-    value = measure(s.lineitem, "country_id").select("country_id", dollars("value_total").alias("value_usd"))
+    value = measure(s.lineitem, "country_id").select("country_id", dollars("value").alias("value_usd"))
     return rounded(enrich.market_share(value, "value_usd"), 12, "market_weight")
 
 

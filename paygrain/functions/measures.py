@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paygrain.functions.money import dollars, exact, ratio
+from paygrain.functions.money import dollars, limbs, money_sums, ratio
 from paygrain.schema import APPROVED, DECLINED
 
 
@@ -20,13 +20,13 @@ def _additive() -> dict[str, Column]:
     approved = F.col("transaction_status") == APPROVED
     return {
         "n": F.count(F.lit(1)),
-        "value_total": F.sum(exact("transaction_amount_usd")),
+        **money_sums("transaction_amount_usd", "value"),
         "value_n": F.count("transaction_amount_usd"),
         "approved_n": F.count_if(approved),
         "declined_n": F.count_if(F.col("transaction_status") == DECLINED),
-        "approved_total": F.sum(F.when(approved, exact("transaction_amount_usd"))),
+        **money_sums(F.when(approved, F.col("transaction_amount_usd")), "approved"),
         "fraud_n": F.count_if(F.col("is_fraud")),
-        "loss_total": F.sum(exact("fraud_loss_amount_usd")),
+        **money_sums("fraud_loss_amount_usd", "loss"),
         "cross_n": F.count_if(F.col("is_cross_border")),
         "ms_sum": F.sum("processing_time_ms"),
         "ms_n": F.count("processing_time_ms"),
@@ -34,8 +34,8 @@ def _additive() -> dict[str, Column]:
 
 
 ADDITIVE_NAMES = [
-    "n", "value_total", "value_n", "approved_n", "declined_n", "approved_total",
-    "fraud_n", "loss_total", "cross_n", "ms_sum", "ms_n",
+    "n", *limbs("value"), "value_n", "approved_n", "declined_n", *limbs("approved"),
+    "fraud_n", *limbs("loss"), "cross_n", "ms_sum", "ms_n",
 ]
 
 
@@ -79,21 +79,21 @@ def reported(name: str) -> Column:
     """A report column computed from additive measures, named as in the reports."""
     expressions = {
         "transaction_count": lambda: F.col("n"),
-        "transaction_value_usd": lambda: dollars("value_total"),
-        "average_transaction_value_usd": lambda: ratio(dollars("value_total"), F.col("value_n")),
+        "transaction_value_usd": lambda: dollars("value"),
+        "average_transaction_value_usd": lambda: ratio(dollars("value"), F.col("value_n")),
         "approved_transactions": lambda: F.col("approved_n"),
         "declined_transactions": lambda: F.col("declined_n"),
-        "approved_payment_value_usd": lambda: dollars("approved_total"),
+        "approved_payment_value_usd": lambda: dollars("approved"),
         "fraud_transactions": lambda: F.col("fraud_n"),
-        "fraud_loss_usd": lambda: dollars("loss_total"),
+        "fraud_loss_usd": lambda: dollars("loss"),
         "cross_border_transactions": lambda: F.col("cross_n"),
         "average_processing_time_ms": lambda: ratio(F.col("ms_sum").cast("double"), F.col("ms_n")),
         "approval_rate": lambda: ratio(F.col("approved_n"), F.col("n")),
         "decline_rate": lambda: ratio(F.col("declined_n"), F.col("n")),
         "fraud_rate": lambda: ratio(F.col("fraud_n"), F.col("n")),
         "cross_border_rate": lambda: ratio(F.col("cross_n"), F.col("n")),
-        "fraud_loss_rate": lambda: ratio(dollars("loss_total"), dollars("value_total")),
-        "fraud_loss_rate_approved": lambda: ratio(dollars("loss_total"), dollars("approved_total")),
+        "fraud_loss_rate": lambda: ratio(dollars("loss"), dollars("value")),
+        "fraud_loss_rate_approved": lambda: ratio(dollars("loss"), dollars("approved")),
     }
     return expressions[name]().alias(name)
 

@@ -37,8 +37,8 @@ def metric(name: str) -> Column:
     others = {
         "active_customers": F.col("active_customers"),
         "transactions_per_customer": ratio(F.col("n"), F.col("active_customers")),
-        "payment_value_per_customer": ratio(dollars("value_total"), F.col("active_customers")),
-        "approved_value_per_customer": ratio(dollars("approved_total"), F.col("active_customers")),
+        "payment_value_per_customer": ratio(dollars("value"), F.col("active_customers")),
+        "approved_value_per_customer": ratio(dollars("approved"), F.col("active_customers")),
         "active_merchants": F.col("active_merchants"),
         "p95_processing_time": F.col("p95_processing_time"),
     }

@@ -2,9 +2,12 @@
 
 A window without PARTITION BY moves every row to a single task. Here Spark partitions the rows
 by ranges of the sort key followed by a hash of the row, which cuts equal keys into as many
-ranges as they need: a value held by a third of all rows does no harm. Windows run inside the
-ranges. What the lower ranges add is worked out from one row per range and joined to the rows as
-a small table; a run of equal keys that goes on from the range before keeps its rank.
+ranges as they need: a value held by a third of all rows does no harm. The rows are sorted inside
+the ranges and stored so, once per order; a row's place is read from that layout, as the number of
+its range and its number within. What the lower ranges add is worked out from one row per range and
+joined to the rows as a small table. A rank is the smallest position of its key: keys that are there
+more than once are grouped, which tasks combine, and joined to the rows. Only running totals
+need a window, and with it a second shuffle, by range.
 
 There is one path for every size. The number of ranges is that of the session's shuffle
 partitions, of which adaptive execution merges the small ones, unless ``ranges`` is given.
@@ -22,7 +25,22 @@ from pyspark.sql import functions as F
 
 from paygrain.session import materialise
 
-RANGE, OFFSET = "_range", "_offset"
+RANGE, PLACE, OFFSET = "_range", "_place", "_offset"
+RANGE_SHIFT = 33  # monotonically_increasing_id counts the rows of a partition in the lower 33 bits
+
+
+def _laid_out(rows: DataFrame, order: list[Column], ranges: int | None) -> DataFrame:
+    """``rows`` sorted by ranges, with the number of their range and their number in it, stored.
+
+    Ranges are numbered in the order of their keys, rows from 1. One shuffle and one stored copy;
+    the numbers are stored with the rows, so that a repeated task cannot number them anew.
+    """
+    spread = F.xxhash64(*rows.columns)
+    parts = [] if ranges is None else [ranges]
+    sorted_ = rows.repartitionByRange(*parts, *order, spread).sortWithinPartitions(*order, spread)
+    number = F.monotonically_increasing_id()
+    within = number.bitwiseAND(F.lit((1 << RANGE_SHIFT) - 1)) + 1
+    return materialise(sorted_.withColumns({RANGE: F.shiftright(number, RANGE_SHIFT).cast("int"), PLACE: within}))
 
 
 def _placed(rows: DataFrame, order: list[Column], ranges: int | None, made: dict[str, Column]) -> DataFrame:
@@ -59,11 +77,6 @@ def _running(found: list, out: str) -> dict[int, int]:
     return offsets
 
 
-def _same(key, other) -> bool:
-    """Equality as in sorting, where a NaN equals a NaN."""
-    return key == other or (other is not None and repr(key) == repr(other))
-
-
 def _per_range(rows: DataFrame, *totals: Column) -> list:
     return rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"), *totals).orderBy(RANGE).collect()
 
@@ -78,25 +91,14 @@ def with_global_ranks(
     """
     n = None
     for name, order in orders.items():
-        key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
-        placed = _placed(rows, order, ranges, {name: F.rank().over(_inside(order)).cast("bigint")})
-        found = _per_range(
-            placed, F.min(F.struct(key.alias("key"))).alias("_first"), F.max(F.struct(key.alias("key"), name)).alias("_last")
-        )
-        below = _running(found, "_n")
-        offsets, previous, started = {}, None, 0
-        for row in found:
-            number = row[RANGE]
-            # The rank of the range's first key: that of the run it goes on with, or a new one.
-            first = started if _same(row["_first"]["key"], previous) else below[number] + 1
-            last_rank = row["_last"][name]
-            started = first if last_rank == 1 else below[number] + last_rank
-            previous = row["_last"]["key"]
-            offsets[number] = (below[number], first)
-        ranked = F.when(F.col(name) == 1, F.col("_first")).otherwise(F.col(name) + F.col(OFFSET))
-        rows = _with_offsets(placed, offsets, [OFFSET, "_first"]).withColumn(name, ranked)
-        rows = rows.drop(RANGE, OFFSET, "_first")
-        n = sum(row["_n"] for row in found)
+        rows, n = with_positions(rows, order, name, ranges)
+        # Keys that several rows have, with the smallest position; equality as in sorting.
+        keys = {f"_key{i}": column for i, column in enumerate(order)}
+        first = rows.select(*(column.alias(key) for key, column in keys.items()), F.col(name).alias("_at"))
+        first = first.groupBy(*keys).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        first = first.where("_n > 1").drop("_n")
+        same = reduce(lambda a, b: a & b, [column.eqNullSafe(F.col(key)) for key, column in keys.items()])
+        rows = rows.join(first, same, "left").withColumn(name, F.coalesce("_first", name)).drop("_first", *keys)
     return rows, rows.count() if n is None else n
 
 
@@ -104,12 +106,11 @@ def with_positions(
     rows: DataFrame, order: list[Column], name: str, ranges: int | None = None
 ) -> tuple[DataFrame, int]:
     """Add the 1-based position of every row in the given order; equal keys go by a hash of the row."""
-    spread = F.xxhash64(*rows.columns)
-    placed = _placed(rows, order, ranges, {name: F.row_number().over(_inside([*order, spread])).cast("bigint")})
+    placed = _laid_out(rows, order, ranges)
     found = _per_range(placed)
     offsets = {number: (total,) for number, total in _running(found, "_n").items()}
-    positioned = _with_offsets(placed, offsets, [OFFSET]).withColumn(name, F.col(name) + F.col(OFFSET))
-    return positioned.drop(RANGE, OFFSET), sum(row["_n"] for row in found)
+    positioned = _with_offsets(placed, offsets, [OFFSET]).withColumn(name, F.col(PLACE) + F.col(OFFSET))
+    return positioned.drop(RANGE, PLACE, OFFSET), sum(row["_n"] for row in found)
 
 
 def keys_at(rows: DataFrame, order: list[Column], positions: list[int], ranges: int | None = None) -> list:
@@ -118,16 +119,15 @@ def keys_at(rows: DataFrame, order: list[Column], positions: list[int], ranges:
     A position beyond the last row has the last key. Only the rows at the positions are returned.
     """
     key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order)])
-    # Equal keys are interchangeable here, so a random number spreads them as well as a hash.
+    # Equal keys are interchangeable here, so a number of the row spreads them as well as a hash.
     keyed = rows.select(key.alias("key"), F.monotonically_increasing_id().alias("_row"))
-    fields = [F.col("key")[f"k{i}"] for i in range(len(order))]
-    placed = _placed(keyed, fields, ranges, {"_place": F.row_number().over(_inside([*fields, F.col("_row")]))})
+    placed = _laid_out(keyed, [F.col("key")[f"k{i}"] for i in range(len(order))], ranges)
     found = _per_range(placed)
     below, n = _running(found, "_n"), sum(row["_n"] for row in found)
     place = {p: max(r for r, total in below.items() if total < min(p, n)) for p in positions}
-    wanted = [(F.col(RANGE) == r) & (F.col("_place") == min(p, n) - below[r]) for p, r in place.items()]
+    wanted = [(F.col(RANGE) == r) & (F.col(PLACE) == min(p, n) - below[r]) for p, r in place.items()]
     hits = placed.where(reduce(lambda left, right: left | right, wanted)).collect() if wanted else []
-    located = {(hit[RANGE], hit["_place"]): hit["key"] for hit in hits}
+    located = {(hit[RANGE], hit[PLACE]): hit["key"] for hit in hits}
     return [located[place[p], min(p, n) - below[place[p]]] for p in positions]
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paygrain.functions.dates import epoch_second
-from paygrain.functions.money import dollars, exact
+from paygrain.functions.money import as_double, fraction, units
 
 SLICE_REACHES = 8  # slice length, in multiples of the longest window
 
@@ -25,16 +25,20 @@ def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
 
     Inside a slice a window's total is the running sum up to now less the running sum up to
     just before the window: two frames that only ever grow, hence linear in the rows, where a
-    moving frame would add up each window from its beginning. Sums are decimals, so the
-    difference is exact.
+    moving frame would add up each window from its beginning. Sums are whole numbers, so
+    the difference is exact.
     """
     reach = max(windows.values())
     slice_seconds = SLICE_REACHES * reach
     second = F.col("second")
     per_second = (
-        fact.select("customer_id", epoch_second(fact).alias("second"), exact("transaction_amount_usd").alias("c"))
+        fact.select("customer_id", epoch_second(fact).alias("second"), F.col("transaction_amount_usd").alias("usd"))
         .groupBy("customer_id", "second")
-        .agg(F.count(F.lit(1)).alias("n"), F.count("c").alias("valued"), F.coalesce(F.sum("c"), F.lit(0)).alias("c"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.count("usd").alias("valued"),
+            F.coalesce(F.sum(units("usd")), F.lit(0)).alias("units"),
+            F.coalesce(F.sum(fraction("usd")), F.lit(0)).alias("millionths"),
+        )
     )
     own = F.floor(second / slice_seconds)
     needed_next = F.pmod(second, F.lit(slice_seconds)) >= slice_seconds - reach
@@ -53,7 +57,9 @@ def trailing_totals(fact: DataFrame, windows: dict[str, int]) -> DataFrame:
     totals = {}
     for suffix, length in windows.items():
         totals[f"customer_transactions_{suffix}"] = within("n", length)
-        totals[f"customer_value_usd_{suffix}"] = F.when(within("valued", length) > 0, dollars(within("c", length)))
+        totals[f"customer_value_usd_{suffix}"] = F.when(
+            within("valued", length) > 0, as_double(within("units", length), within("millionths", length))
+        )
     return (
         placed.withColumns(totals)
         .where(F.col("slice").eqNullSafe(own))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from paygrain.functions.dates import month_bit, month_word, transaction_date, transaction_month
 from paygrain.functions.measures import measure, report, reported, roll_up, with_distinct_members
-from paygrain.functions.money import dollars, ratio
-from paygrain.operators.ordering import ntile, percent_rank, with_global_ranks
+from paygrain.functions.money import as_double, limbs, ratio
+from paygrain.operators.ordering import ntile, percent_rank, with_global_ranks, with_positions
 from paygrain.operators.velocity import with_trailing_totals
 from paygrain.schema import DECLINED
 from paygrain.sources.tables import register_views
@@ -149,15 +149,14 @@ def customer_analytics(
         ],
     )
     value, count = F.col("transaction_value_usd"), F.col("transaction_count")
-    ranked, n = with_global_ranks(
-        customers,
-        {
-            # Descending with nulls last, then by customer.
-            "spend_quintile": [value.isNull(), -value, F.col("customer_id")],
-            "activity_quintile": [-count, F.col("customer_id")],
-        },
-        ranges,
-    )
+    # Descending with nulls last, then by customer: no two rows are equal.
+    orders = {
+        "spend_quintile": [value.isNull(), -value, F.col("customer_id")],
+        "activity_quintile": [-count, F.col("customer_id")],
+    }
+    ranked, n = customers, 0
+    for name, order in orders.items():
+        ranked, n = with_positions(ranked, order, name, ranges)
     ranked = ranked.withColumns({name: ntile(name, n, tiles) for name in ("spend_quintile", "activity_quintile")})
     top_spend, top_activity = F.col("spend_quintile") == 1, F.col("activity_quintile") == 1
     segment = (
@@ -179,16 +178,13 @@ RISK_SEGMENT = [
 def risk_measures(fact: DataFrame, dim_merchant: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Additive measures per fraud-risk segment.
 
-    The fact is grouped by customer and the low-cardinality columns before customers are
-    attached: a customer then has at most one row per combination of those, so the join with the
-    large dimension has no hot key.
+    Three narrow attributes are joined to the payments, then one grouping by columns of few values
+    combines them in the tasks. Spark broadcasts the dimensions that it measures as small; of a
+    shuffled join AQE splits the partitions of hot keys.
     """
-    facets = ["channel", "payment_method", "is_cross_border"]
     merchants = dim_merchant.select("merchant_id", "merchant_category", "merchant_risk_rating")
     customers = dim_customer.select("customer_id", F.col("risk_segment").alias("customer_risk_segment"))
-    rated = fact.join(merchants, "merchant_id")
-    per_customer = measure(rated, "customer_id", "merchant_category", "merchant_risk_rating", *facets)
-    return roll_up(per_customer.join(customers, "customer_id"), *RISK_SEGMENT)
+    return measure(fact.join(merchants, "merchant_id").join(customers, "customer_id"), *RISK_SEGMENT)
 
 
 def fraud_risk_segments(fact: DataFrame, dim_merchant: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -240,14 +236,16 @@ def merchant_daily_anomalies(
     """
     days = report(
         measure(fact, "merchant_id", transaction_date(fact)),
-        ["merchant_id", "transaction_date", "value_total"],
+        ["merchant_id", "transaction_date", *limbs("value")],
         [
             "transaction_count", "transaction_value_usd", "approval_rate", "fraud_rate", "fraud_loss_usd",
             "average_processing_time_ms",
         ],
     )
     before = Window.partitionBy("merchant_id").orderBy("transaction_date").rowsBetween(-window, -1)
-    value_mean = ratio(dollars(F.sum("value_total").over(before)), F.count("value_total").over(before))
+    whole, millionths = limbs("value")
+    value_sum = as_double(F.sum(whole).over(before), F.sum(millionths).over(before))
+    value_mean = ratio(value_sum, F.count(whole).over(before))
     days = days.withColumns(
         {
             "baseline_observations": F.count(F.lit(1)).over(before),
@@ -258,7 +256,7 @@ def merchant_daily_anomalies(
             "baseline_approval_rate": F.avg("approval_rate").over(before),
             "baseline_approval_rate_sd": F.stddev_samp("approval_rate").over(before),
         }
-    ).drop("value_total")
+    ).drop(whole, millionths)
 
     def score(measured: str, mean: str, deviation: str) -> Column:
         return F.when(F.col(deviation) >= flat, (F.col(measured) - F.col(mean)) / F.col(deviation))
