@@ -41,7 +41,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paygrain.llm.common import Scratch, lookup, text_of
@@ -55,6 +55,7 @@ PORTION = 4096  # sets of a region that one task holds
 CELL = 48  # members that are compared with one another
 PIVOTS = 6
 KNOWN_WORDS = 1 << 20
+MARK_BITS = 1 << 23
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
@@ -413,6 +414,27 @@ def later_regions(rest: DataFrame, percent: int, portion_size: int) -> DataFrame
     return members.withColumns({"portions": F.lit(1), "portion": F.lit(0), "pivot": F.lit(False)})
 
 
+def marked(key: Column, held: DataFrame) -> Column:
+    """False for most keys that ``held`` does not have: texts that no region needs are not moved.
+
+    One bit for each remainder of a key, 1 MB whatever the number of keys.
+    """
+
+    def word(k: Column) -> Column:
+        return F.shiftright(F.pmod(k, F.lit(MARK_BITS)), 6).cast("int")
+
+    def bit(k: Column) -> Column:
+        return F.pmod(k, F.lit(64)).cast("int")
+
+    own = F.col("own_key")
+    ones = held.select(word(own).alias("word"), F.expr("shiftleft(1L, CAST(pmod(own_key, 64) AS INT))").alias("bits"))
+    words = held.sparkSession.range(MARK_BITS // 64).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = words.unionByName(ones).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    table = words.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("all"))
+    table = table.select(F.transform("all", lambda w: w["bits"])).scalar()
+    return F.getbit(F.element_at(table, word(key) + 1), bit(key)) == 1
+
+
 def jaccard_links(
     docs: DataFrame, classes: DataFrame, scratch: Scratch, width: int, percent: int, portion_size: int
 ) -> DataFrame:
@@ -422,8 +444,9 @@ def jaccard_links(
     pivots = pairs.select("pivot").distinct().select(region, F.col("pivot").alias("id"))
     placed = in_portions(pairs.select(region, "id"), pivots, portion_size)
     held = placed.select("id").distinct().join(classes.select("id", "doc_id", "text_key"), "id")
-    held = held.withColumnsRenamed({"doc_id": "own_id", "text_key": "own_key"})
+    held = scratch.table(held.withColumnsRenamed({"doc_id": "own_id", "text_key": "own_key"}))
     texts = docs.select("doc_id", text_of(docs["text"]).alias("text")).withColumn("text_key", F.xxhash64("text"))
+    texts = texts.where(marked(F.col("text_key"), held))
     same = F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key"))
     texts = texts.join(held, same).select("id", "text")
     rows = placed.join(texts, "id").withColumns({"label": F.lit(None).cast("long"), "n": F.lit(0).cast("long")})
