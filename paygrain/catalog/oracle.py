@@ -781,7 +781,7 @@ SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better
 FROM features WHERE {TEST_ROWS}
 """, FEATURES)
 check("fraud_gbt", f"""
-SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better_than_chance
+SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better_than_chance, true AS rounds_in_range
 FROM features WHERE {TEST_ROWS}
 """, FEATURES)
 

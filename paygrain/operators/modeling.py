@@ -1,13 +1,13 @@
-"""Feature preparation and the two fraud models, as Spark ML pipelines."""
+"""Feature preparation and the two fraud models: a Spark ML pipeline and leaf-wise boosted trees."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
-    Imputer,
     OneHotEncoder,
     SQLTransformer,
     StandardScaler,
@@ -19,8 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paygrain.functions.money import ratio
+from paygrain.operators import boosting
+from paygrain.operators.boosting import BoostedTrees, Settings
 from paygrain.operators.ordering import union_all
-from paygrain.session import use_checkpoint_dir
+from paygrain.operators.quantiles import exact_medians
 
 # Feature names and split dates must equal the published ones for results to agree.
 NUMERIC_FEATURES = [
@@ -152,12 +154,15 @@ def balanced_weights(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"label_num": label, "weight": weight})
 
 
-def _imputers(modes: dict[str, str]) -> list:
-    numeric = Imputer(
-        strategy="median", relativeError=0.001, inputCols=NUMERIC_FEATURES,
-        outputCols=[f"{c}_filled" for c in NUMERIC_FEATURES],
-    )
-    return [_fill_modes(modes), numeric]
+def _imputers(modes: dict[str, str], medians: dict[str, float]) -> list:
+    """Stages that fill nulls with the training rows' modes and exact medians."""
+    return [_fill_modes(modes), _fill_medians(medians)]
+
+
+def _fill_medians(medians: dict[str, float]) -> SQLTransformer:
+    """A column ``x_filled`` for each number; zero where the training rows have no value at all."""
+    filled = [f"COALESCE(NANVL({c}, CAST(NULL AS DOUBLE)), {medians.get(c, 0.0)!r}D) AS {c}_filled" for c in NUMERIC_FEATURES]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
 
 
 def _indexer() -> StringIndexer:
@@ -178,7 +183,7 @@ def _fill_modes(modes: dict[str, str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT * EXCEPT ({kept}), {filled} FROM __THIS__")
 
 
-def linear_pipeline(modes: dict[str, str], rows: int, max_iter: int = 300) -> Pipeline:
+def linear_pipeline(modes: dict[str, str], medians: dict[str, float], rows: int, max_iter: int = 300) -> Pipeline:
     """Median and mode imputation, scaling, one-hot encoding, L2 logistic regression.
 
     Every known category keeps its own column; an unknown one is all zeros. The penalty
@@ -197,35 +202,7 @@ def linear_pipeline(modes: dict[str, str], rows: int, max_iter: int = 300) -> Pi
         featuresCol="features", labelCol="label_num", weightCol="weight", regParam=1.0 / rows,
         elasticNetParam=0.0, standardization=False, maxIter=max_iter,
     )
-    return Pipeline(stages=[*_imputers(modes), _indexer(), scaled, scaler, onehot, assembled, model])
-
-
-def tree_features(modes: dict[str, str]) -> Pipeline:
-    """Imputation and ordinal encoding, which the trees split as nominal."""
-    assembled = VectorAssembler(
-        inputCols=[f"{c}_filled" for c in NUMERIC_FEATURES] + [f"{c}_index" for c in CATEGORICAL_FEATURES],
-        outputCol="features",
-    )
-    return Pipeline(stages=[*_imputers(modes), _indexer(), assembled])
-
-
-def boosted_trees(rounds: int, max_bins: int) -> GBTClassifier:
-    return GBTClassifier(
-        featuresCol="features", labelCol="label_num", weightCol="weight", stepSize=0.08, maxIter=rounds,
-        maxDepth=5, minInstancesPerNode=50, maxBins=max_bins, seed=SEED,
-    )
-
-
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """Rounds (from 1) with the smallest loss before ``patience`` rounds bring no better one, and
-    whether the losses go on that long."""
-    best = 0
-    for i, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, True
-    return best + 1, False
+    return Pipeline(stages=[*_imputers(modes, medians), _indexer(), scaled, scaler, onehot, assembled, model])
 
 
 # --- fitting and scoring -------------------------------------------------------------------
@@ -236,54 +213,57 @@ def fit_lr(train: DataFrame, max_iter: int = 300) -> PipelineModel:
     assert_no_leakage(FEATURES)
     rows = model_columns(train).persist()
     try:
-        pipeline = linear_pipeline(most_frequent(rows, CATEGORICAL_FEATURES), rows.count(), max_iter)
+        modes, medians = most_frequent(rows, CATEGORICAL_FEATURES), exact_medians(rows, NUMERIC_FEATURES)
+        pipeline = linear_pipeline(modes, medians, rows.count(), max_iter)
         return pipeline.fit(balanced_weights(rows))
     finally:
         rows.unpersist()
 
 
-def fit_gbt(train: DataFrame, max_iter: int = 250, patience: int = 20) -> PipelineModel:
-    """Fit the boosted trees with as many rounds as a fixed tenth of the rows is best with.
+@dataclass
+class FraudTrees:
+    """Boosted trees with the values that fill nulls before they are binned."""
 
-    The other nine tenths are fitted first; the loss on the tenth is read after every round, and
-    its smallest value counts once ``patience`` rounds bring no better one. Twice as many rounds
-    are fitted as long as that is not reached. The growing lineage of the residuals is cut by the
-    trainer's own checkpoints.
-    """
+    modes: dict[str, str]
+    medians: dict[str, float]
+    trees: BoostedTrees
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        return filled(rows, self.modes, self.medians).withColumn("score", self.trees.probability())
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.trees.save(spark, f"{path}/trees")
+        values = [(k, c, str(v)) for k, own in (("mode", self.modes), ("median", self.medians)) for c, v in own.items()]
+        spark.createDataFrame(values, "kind string, feature string, value string").coalesce(1).write.mode("overwrite").parquet(f"{path}/filled")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> FraudTrees:
+        rows = spark.read.parquet(f"{path}/filled").collect()
+        modes = {r.feature: r.value for r in rows if r.kind == "mode"}
+        medians = {r.feature: float(r.value) for r in rows if r.kind == "median"}
+        return FraudTrees(modes, medians, BoostedTrees.load(spark, f"{path}/trees"))
+
+
+def filled(rows: DataFrame, modes: dict[str, str], medians: dict[str, float]) -> DataFrame:
+    """Nulls replaced by the training rows' most frequent levels and medians."""
+    numbers = {c: F.coalesce(F.nanvl(c, F.lit(None).cast("double")), F.lit(m)) for c, m in medians.items()}
+    return rows.withColumns({**numbers, **{c: F.coalesce(c, F.lit(m)) for c, m in modes.items()}})
+
+
+def fit_gbt(train: DataFrame, max_iter: int = 250, patience: int = 20, max_leaves: int = 31) -> FraudTrees:
+    """Fit leaf-wise boosted trees; a fixed tenth of the rows tells when to stop."""
     assert_no_leakage(FEATURES)
-    use_checkpoint_dir(train.sparkSession)
     held_out = F.pmod(F.xxhash64("transaction_id", F.lit(SEED)), F.lit(10)) == 0
     rows = model_columns(train).persist()
     try:
-        levels = level_counts(rows, CATEGORICAL_FEATURES).groupBy("feature").count().agg(F.max("count")).first()[0]
-        bins = max(64, (levels or 0) + 2)  # a nominal split needs a bin per level and one for unknown
-        weighted = balanced_weights(rows)
-        prepared = tree_features(most_frequent(rows, CATEGORICAL_FEATURES)).fit(weighted)
-        ready = prepared.transform(weighted).select("features", "label_num", "weight", held_out.alias("held_out"))
-        ready = ready.persist()
-        try:
-            rounds = best_number(ready, max_iter, patience, bins)
-            return PipelineModel(stages=[*prepared.stages, boosted_trees(rounds, bins).fit(ready)])
-        finally:
-            ready.unpersist()
+        modes, medians = most_frequent(rows, CATEGORICAL_FEATURES), exact_medians(rows, NUMERIC_FEATURES)
+        weighted = filled(balanced_weights(rows), modes, medians).withColumn("held_out", held_out)
+        settings = Settings(max_iter=max_iter, patience=patience, max_leaves=max_leaves)
+        return FraudTrees(modes, medians, boosting.fit(weighted, NUMERIC_FEATURES, CATEGORICAL_FEATURES, "label_num", "weight", "held_out", settings))
     finally:
         rows.unpersist()
 
 
-def best_number(ready: DataFrame, max_iter: int, patience: int, bins: int) -> int:
-    """Rounds with the smallest loss on the rows that are held out."""
-    tested = ready.where("held_out")
-    if not tested.limit(1).count():
-        return max_iter
-    rounds = min(max_iter, 2 * patience)
-    while True:
-        model = boosted_trees(rounds, bins).fit(ready.where("NOT held_out"))
-        best, settled = best_round(list(model.evaluateEachIteration(tested)), patience)
-        if settled or rounds == max_iter:
-            return best
-        rounds = min(max_iter, 2 * rounds)
-
-
 def stated_score(rows: DataFrame, intercept: float, coefficients: list[tuple[str, float]]) -> DataFrame:
     """(transaction_id, label, score) by a logistic regression whose coefficients are given.
 
@@ -304,13 +284,11 @@ def stated_score(rows: DataFrame, intercept: float, coefficients: list[tuple[str
     return rows.select("transaction_id", F.col(LABEL).alias("label"), (1 / (1 + F.exp(-total))).alias("score"))
 
 
-def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def score(model: PipelineModel | FraudTrees, rows: DataFrame) -> DataFrame:
     """Fraud probability of each payment as (transaction_id, label, score)."""
     scored = model.transform(model_columns(rows))
-    return scored.select(
-        "transaction_id", F.col(LABEL).alias("label"),
-        F.get(vector_to_array("probability"), F.lit(1)).alias("score"),
-    )
+    value = F.col("score") if isinstance(model, FraudTrees) else F.get(vector_to_array("probability"), F.lit(1))
+    return scored.select("transaction_id", F.col(LABEL).alias("label"), value.alias("score"))
 
 
 # --- explanation ---------------------------------------------------------------------------

@@ -114,17 +114,24 @@ def test_coefficients(features, linear, spark):
     assert top[0].coefficient == max(r.coefficient for r in rows)
 
 
-def test_boosted_model_learns(features):
-    model = modeling.fit_gbt(modeling.read_split(features, "train", modulus=None), max_iter=8)
-    scored = modeling.score(model, modeling.read_split(features, "test"))
+def test_boosted_model_learns_and_reloads(features, spark, tmp_path):
+    model = modeling.fit_gbt(modeling.read_split(features, "train", modulus=None), max_iter=6, max_leaves=6)
+    test = modeling.read_split(features, "test").withColumn("channel", F.when(F.col("transaction_id") % 2 == 0, "telepathy"))
+    scored = modeling.score(model, test)
     assert scored.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
     assert evaluation.roc_auc(scored).first()[0] > 0.55
-
-
-def test_rounds_stop_after_patience():
-    assert modeling.best_round([5.0, 4.0, 4.5, 3.9, 4.0, 4.0, 4.0], 3) == (4, True)
-    assert modeling.best_round([5.0, 4.0, 4.5, 3.9, 4.0, 4.0], 3) == (4, False)
-    assert modeling.best_round([3.0, 3.0, 3.0], 2) == (1, True)
+    model.save(spark, str(tmp_path / "trees"))
+    again = modeling.FraudTrees.load(spark, str(tmp_path / "trees"))
+    assert again == model
+    assert sorted(map(tuple, modeling.score(again, test).collect())) == sorted(map(tuple, scored.collect()))
+
+
+def test_nulls_are_filled_with_exact_medians(features, linear):
+    train = modeling.read_split(features, "train", modulus=None)
+    known = sorted(r[0] for r in train.select("transaction_amount_usd").na.drop().collect())
+    middle = (known[(len(known) - 1) // 2] + known[len(known) // 2]) / 2
+    odd = modeling.model_columns(train.where("transaction_amount_usd IS NULL"))
+    assert {r[0] for r in linear.transform(odd).select("transaction_amount_usd_filled").collect()} == {middle}
 
 
 def test_stated_scores(features):
