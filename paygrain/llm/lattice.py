@@ -2,7 +2,7 @@
 
 The pieces come from an existing public vocabulary. A word, with a mark for its beginning, can be
 cut into pieces in many ways; its probability is the sum over all of them of the product of the
-pieces' probabilities, by a forward recursion in log space. A word of the training texts has one
+pieces' probabilities, by a forward recursion in log space, over all words of one length at once. A word of the training texts has one
 more arc, from its beginning to its end, with its share of the training tokens; the share of
 words that are there once is what the pieces get instead. A text is its words and one end, so its
 probability is a product over words, and those of all texts add up to one.
@@ -21,13 +21,12 @@ piece of their own are read as their bytes.
 
 Defined cases: a null text is empty and consists of its end; a null ``doc_id`` counts as the
 empty text, which is trained on; repeated rows count and are scored each; an empty table gives an
-empty result.
+empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -40,8 +39,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paygrain.llm.common import free_name
-from paygrain.session import use_checkpoint_dir
+from paygrain.llm.common import Scratch, free_name
+from paygrain.session import materialise
 
 FOLDS, HELD_OUT = 7, 2
 ROUNDS = 2  # of expectation-maximisation
@@ -51,15 +50,9 @@ BLOCK_SHIFT = 33
 EMPTY = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
 FIRST_RANK = 259  # ids below are bytes and control symbols
 BEGIN = "▁"
-
-
-def stored(frame: DataFrame) -> DataFrame:
-    """Write ``frame`` as a table in the shared checkpoint folder and go on from the files."""
-    spark = frame.sparkSession
-    use_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/lattice-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+CHARACTER_BITS = 21
+WORDS_AT_ONCE = 1 << 16
+FEW_WORDS, LONG_WORD = 8, 64  # fewer words of a length, or longer ones, are worked on one by one
 
 
 def pieces_of(path: str) -> list[str]:
@@ -76,7 +69,7 @@ class Lattice:
     """
 
     def __init__(self, pieces: list[str], log_p: np.ndarray) -> None:
-        self.log_p = log_p.tolist()
+        self.log_p, self.chance = log_p.tolist(), log_p
         self.trie: dict = {}
         self.bytes: dict[int, int] = {}
         for i, piece in enumerate(pieces):
@@ -87,6 +80,98 @@ class Lattice:
                 for c in piece[:-1]:
                     node = node.setdefault(c, [None, {}])[1]
                 node.setdefault(piece[-1], [None, {}])[0] = i
+        # The same trie as arrays: steps from a state by a character, ascending, and each state's piece.
+        steps, self.piece, waiting = [], [-1], [(0, self.trie)]
+        for state, node in waiting:
+            for c, (piece, below) in node.items():
+                steps.append((state << CHARACTER_BITS | ord(c), len(self.piece)))
+                waiting.append((len(self.piece), below))
+                self.piece.append(-1 if piece is None else piece)
+        table = np.array(sorted(steps), dtype=np.int64).reshape(-1, 2)
+        self.step, self.next, self.piece = table[:, 0].copy(), table[:, 1].copy(), np.array(self.piece)
+
+    def arcs(self, codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(start, end, rows, pieces, log probabilities) over words of one length, by start, then end.
+
+        ``codes`` has a row of code points per word. A character without a piece of its own is an
+        arc too, with the bytes' probability and ``-1 - code point`` in place of a piece.
+        """
+        size = codes.shape[1]
+        for i in range(size):
+            rows = np.arange(len(codes))
+            state = np.zeros(len(codes), dtype=np.int64)
+            for j in range(i, size):
+                key = state << CHARACTER_BITS | codes[rows, j]
+                at = np.minimum(np.searchsorted(self.step, key), len(self.step) - 1)
+                there = self.step[at] == key
+                if j == i:
+                    alone = np.ones(len(codes), dtype=bool)
+                    alone[there] = self.piece[self.next[at[there]]] < 0
+                    if alone.any():
+                        own, code = np.flatnonzero(alone), codes[alone, i]
+                        value, of = np.unique(code, return_inverse=True)
+                        chance = np.array([sum(self.log_p[x] for x in self.as_bytes(chr(c))) for c in value])
+                        yield i, i + 1, own, -1 - code, chance[of]
+                rows, state = rows[there], self.next[at[there]]
+                if not len(rows):
+                    break
+                piece = self.piece[state]
+                found = piece >= 0
+                if found.any():
+                    yield i, j + 1, rows[found], piece[found], self.chance[piece[found]]
+
+    def forward(self, codes: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """Log probabilities of all beginnings of the words, summed over their cuts, and the arcs."""
+        alpha = np.full((len(codes), codes.shape[1] + 1), -np.inf)
+        alpha[:, 0] = 0.0
+        arcs = []
+        for i, j, rows, piece, chance in self.arcs(codes):
+            alpha[rows, j] = np.logaddexp(alpha[rows, j], alpha[rows, i] + chance)
+            arcs.append((i, j, rows, piece, chance))
+        return alpha, arcs
+
+    def groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+        """Indexes of words of one length with their code points; of few or long ones the indexes alone."""
+        sizes = np.array([len(w) + 1 for w in words])
+        for size in np.unique(sizes).tolist():
+            own = np.flatnonzero(sizes == size)
+            if len(own) < FEW_WORDS or size > LONG_WORD:
+                yield own, None
+                continue
+            text = "".join([BEGIN + words[i] for i in own.tolist()])
+            yield own, np.frombuffer(text.encode("utf-32-le"), dtype="<u4").reshape(len(own), size).astype(np.int64)
+
+    def marginals(self, words: list[str]) -> np.ndarray:
+        """The log probability of each word, summed over all its cuts."""
+        out = np.zeros(len(words))
+        for own, codes in self.groups(words):
+            if codes is None:
+                out[own] = [self.score(words[i], 0.0, -math.inf) for i in own.tolist()]
+            else:
+                out[own] = self.forward(codes)[0][:, -1]
+        return out
+
+    def expect_all(self, words: list[str], totals: np.ndarray) -> None:
+        """Add the expected uses of each piece in all words to ``totals``."""
+        for own, codes in self.groups(words):
+            if codes is None:
+                single = [0.0] * len(totals)
+                for i in own.tolist():
+                    self.expect(words[i], single)
+                totals += single
+                continue
+            alpha, arcs = self.forward(codes)
+            share = np.zeros_like(alpha)  # of the probability that goes through each position
+            share[:, -1] = 1.0
+            for i, j, rows, piece, chance in reversed(arcs):
+                part = share[rows, j] * np.exp(alpha[rows, i] + chance - alpha[rows, j])
+                share[rows, i] += part
+                if piece[0] >= 0:
+                    totals += np.bincount(piece, part, minlength=len(totals))
+                else:
+                    for code, uses in zip(*sums_of(-1 - piece, part), strict=True):
+                        for x in self.as_bytes(chr(code)):
+                            totals[x] += uses
 
     def as_bytes(self, character: str) -> tuple[int, ...]:
         return tuple(self.bytes[b] for b in character.encode())
@@ -158,6 +243,25 @@ class Lattice:
                         totals[x] += part
 
 
+def sums_of(names: np.ndarray, values: np.ndarray) -> tuple[list, list]:
+    """The different names and the sum of each one's values."""
+    name, of = np.unique(names, return_inverse=True)
+    return name.tolist(), np.bincount(of, values).tolist()
+
+
+def in_portions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Batches put together until they have ``WORDS_AT_ONCE`` rows."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += len(batch)
+        if size >= WORDS_AT_ONCE:
+            yield pd.concat(waiting, ignore_index=True)
+            waiting, size = [], 0
+    if size:
+        yield pd.concat(waiting, ignore_index=True)
+
+
 def log_sum(values: list[float]) -> float:
     """Logarithm of the sum of exponentials."""
     if len(values) == 1:
@@ -253,11 +357,9 @@ def fitted(vocabulary: DataFrame, pieces: list[str], rounds: int) -> np.ndarray:
     for _ in range(rounds):
 
         def expected(batches: Iterator[pd.DataFrame], log_p: np.ndarray = log_p) -> Iterator[pd.DataFrame]:
-            lattice, sums = Lattice(pieces, log_p), [0.0] * len(pieces)
-            for batch in batches:
-                for word in batch["word"]:
-                    lattice.expect(word, sums)
-            totals = np.array(sums)
+            lattice, totals = Lattice(pieces, log_p), np.zeros(len(pieces))
+            for batch in in_portions(batches):
+                lattice.expect_all(batch["word"].tolist(), totals)
             used = np.flatnonzero(totals)
             yield pd.DataFrame({"piece": used, "uses": totals[used]})
 
@@ -275,16 +377,22 @@ def normalised(weight: np.ndarray) -> np.ndarray:
 
 
 def scored(docs: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> DataFrame:
-    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score.
 
-    ``base_score`` is the add-one unigram model over words, in log10 like ``score``.
+    ``base_score`` is the add-one unigram model over words, in log10 like ``score``;
+    ``lattice_score`` is that of the pieces alone, without the arcs of whole words.
     """
+    with Scratch(docs.sparkSession, "lattice") as scratch:
+        return materialise(_scored(docs, vocabulary_path, rounds, scratch))
+
+
+def _scored(docs: DataFrame, vocabulary_path: str, rounds: int, scratch: Scratch) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    kept = stored(blocks(docs))
+    kept = scratch.table(blocks(docs))
     texts = kept.where("words IS NULL").drop("words", "trained")
     entries = kept.where("words IS NOT NULL").select("block", F.posexplode(F.arrays_zip("words", "trained")).alias("at", "w"))
     entries = entries.select("block", "at", F.col("w.words").alias("word"), F.col("w.trained").alias("count"))
-    vocabulary = stored(entries.groupBy("word").agg(F.sum("count").alias("count")))
+    vocabulary = scratch.table(entries.groupBy("word").agg(F.sum("count").alias("count")))
     sums = [F.sum("count"), F.count_if(F.col("count") > 0), F.count_if(F.col("count") == 1)]
     totals = vocabulary.agg(*sums).first()
     ends = texts.where("NOT held_out").count()
@@ -293,37 +401,38 @@ def scored(docs: DataFrame, vocabulary_path: str, rounds: int = ROUNDS) -> DataF
     pieces = pieces_of(vocabulary_path)
     log_p = fitted(vocabulary, pieces, rounds)
 
-    def share(count: int) -> float:
-        return math.log((1 - new) * count / n) if count else -math.inf
-
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lattice = Lattice(pieces, log_p)
-        for batch in batches:
-            pairs = zip(batch["word"], batch["count"].tolist(), strict=True)
-            values = [lattice.score(word, math.log(new), share(count)) for word, count in pairs]
-            yield batch.assign(log10=np.array(values, dtype=float) / math.log(10))
-
-    words = vocabulary.mapInPandas(score, "word string, count long, log10 double")
-    figures = entries.select("block", "at", "word").join(words, "word").select(F.col("block").alias("of"), "at", "count", "log10")
+        for batch in in_portions(batches):
+            pure = lattice.marginals(batch["word"].tolist())
+            with np.errstate(divide="ignore"):
+                whole = np.log((1 - new) * batch["count"].to_numpy(dtype=float) / max(n, 1))
+            log10 = np.logaddexp(math.log(new) + pure, whole) / math.log(10)
+            yield batch.assign(log10=log10, pure=pure / math.log(10))
+
+    words = vocabulary.mapInPandas(score, "word string, count long, log10 double, pure double")
+    figures = entries.select("block", "at", "word").join(words, "word").select(F.col("block").alias("of"), "at", "count", "log10", "pure")
     end_base = math.log10((ends + 1) / (n + v + 1))
     end_score = math.log10((1 - new) * (ends + 0.5) / (n + 1))
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "lattice_score"]
 
     def summed(documents: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         size = int(words["at"].max()) + 1 if len(words) else 0
-        count, log10 = np.zeros(size, dtype=np.int64), np.zeros(size)
-        count[words["at"]], log10[words["at"]] = words["count"], words["log10"]
+        count, log10, pure = np.zeros(size, dtype=np.int64), np.zeros(size), np.zeros(size)
+        count[words["at"]], log10[words["at"]], pure[words["at"]] = words["count"], words["log10"], words["pure"]
         base = np.log10((count + 1) / (n + v + 1))
         rows = []
         for row in documents.itertuples(index=False):
             at, times = np.cumsum(unpacked(row.at)), unpacked(row.times)
             known = int(times[count[at] > 0].sum()) + (ends > 0)
             rows.append((
-                row.doc_id, bool(row.held_out), int(row.n_words) + 1, known, n,
-                float(times @ base[at]) + end_base, float(times @ log10[at]) + end_score,
+                row.doc_id, bool(row.held_out), int(row.n_words) + 1, known, n, float(times @ base[at]) + end_base,
+                float(times @ log10[at]) + end_score, float(times @ pure[at]) + end_score,
             ))
-        return pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        return pd.DataFrame(rows, columns=columns)
 
     return texts.groupBy("block").cogroup(figures.groupBy("of")).applyInPandas(
         summed,
-        f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
+        f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
+        "score double, lattice_score double",
     )

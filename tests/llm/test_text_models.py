@@ -268,6 +268,56 @@ def test_scores(spark):
         assert -20 * r.n_tokens < r.score < 0
 
 
+def plain_marginal(word, chance, byte):
+    """Probability of all cuts of a word, from the chances of its prefixes."""
+    text = "▁" + word
+    upto = [1.0] + [0.0] * len(text)
+    for j in range(1, len(text) + 1):
+        for i in range(j):
+            own = chance.get(text[i:j])
+            if own is None and j == i + 1:
+                own = math.prod(byte[b] for b in text[i].encode())
+            upto[j] += upto[i] * (own or 0.0)
+    return upto[-1]
+
+
+def test_scores_equal_plain_python(spark):
+    texts = ["the cat the dog", "The unseen zebra É\U0001f600", None, "a a a b", "dog dog internationalisation", "x" * 70 + " cat", "b 字 b", "the zebra sleeps"]
+    docs = list(enumerate(texts * 2))
+    found = {r.doc_id: r for r in lattice.scored(spark.createDataFrame(docs, "doc_id long, text string"), PIECES, rounds=0).collect()}
+    names = lattice.pieces_of(PIECES)
+    weight = [1 / max(i - 259 + 2, 2) if n else 0.0 for i, n in enumerate(names)]
+    total = sum(weight)
+    byte = {int(n[3:5], 16): w / total for n, w in zip(names, weight, strict=True) if len(n) == 6 and n.startswith("<0x")}
+    chance = {n: w / total for n, w in zip(names, weight, strict=True) if n and not (len(n) == 6 and n.startswith("<0x"))}
+    words = {i: re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) for i, t in docs}
+    learned = [i for i in words if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = Counter(w for i in learned for w in words[i])
+    n = sum(counts.values()) + len(learned)
+    new = (sum(c == 1 for c in counts.values()) + 0.5) / (n + 1)
+    for i, own in words.items():
+        end = math.log10((1 - new) * (len(learned) + 0.5) / (n + 1))
+        pure = [plain_marginal(w, chance, byte) for w in own]
+        mixed = [new * p + (1 - new) * counts[w] / n for w, p in zip(own, pure, strict=True)]
+        assert found[i].score == pytest.approx(sum(map(math.log10, mixed)) + end)
+        assert found[i].lattice_score == pytest.approx(sum(map(math.log10, pure)) + end)
+
+
+@settings(max_examples=30)
+@given(st.lists(st.text(alphabet="abc\xe9d", min_size=1, max_size=6), min_size=1, max_size=60), st.integers(0, 9))
+def test_words_at_once_equal_words_one_by_one(words, seed):
+    names = ["▁", "a", "b", "c", "ab", "bc", "▁a", "abc", "ca", *(f"<0x{b:02X}>" for b in (0xC3, 0xA9, 0x64))]
+    p = np.random.default_rng(seed).dirichlet(np.ones(len(names)))
+    model = lattice.Lattice(names, np.log(p))
+    one = [model.score(w, 0.0, -math.inf) for w in words * 9]
+    assert model.marginals(words * 9) == pytest.approx(one)
+    totals, single = np.zeros(len(names)), [0.0] * len(names)
+    model.expect_all(words * 9, totals)
+    for w in words * 9:
+        model.expect(w, single)
+    assert totals.tolist() == pytest.approx(single)
+
+
 def test_scores_of_edge_documents(edge_docs, no_docs, edge_rows, monkeypatch):
     found = lattice.scored(edge_docs, PIECES, rounds=1).collect()
     assert len(found) == len(edge_rows) and all(r.n_tokens >= 1 and r.score < 0 for r in found)
