@@ -270,6 +270,12 @@ kpi_view AS (
 """
 check("executive_kpis_monthly", "SELECT * FROM kpi_view", MONTHLY)
 
+check("active_members_quarterly", f"""
+SELECT CAST(date_trunc('quarter', {DAY}) AS DATE) AS quarter, count(DISTINCT customer_id) AS active_customers,
+  count(DISTINCT merchant_id) AS active_merchants
+FROM fact_lineitem GROUP BY 1
+""")
+
 FEATURES = f"""
 features AS (
   SELECT f.transaction_id, f.transaction_timestamp, {DAY} AS transaction_date,
@@ -785,6 +791,15 @@ SELECT transaction_id, is_fraud AS label, true AS score_in_range, true AS better
 FROM features WHERE {TEST_ROWS}
 """, FEATURES)
 
+TRAIN_ROWS = f"transaction_date < DATE '{fixtures.VALIDATION_FROM}'"
+check("lr_coefficients_fitted", "\nUNION ALL ".join(
+    [f"SELECT '{name}' AS feature, true AS strongest_first, true AS exp_agrees, true AS absolute_agrees" for name in NUMERIC_FEATURES]
+    + [
+        f"SELECT DISTINCT '{name}_' || CAST({name} AS VARCHAR), true, true, true FROM features WHERE {TRAIN_ROWS} AND {name} IS NOT NULL"
+        for name in CATEGORICAL_FEATURES
+    ]
+), FEATURES)
+
 
 def _term(name: str, weight: float) -> str:
     if name in NUMERIC_FEATURES:

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paygrain.functions import dates, metrics
-from paygrain.functions.dates import transaction_date
-from paygrain.functions.measures import measure
+from paygrain.functions.dates import transaction_date, transaction_month
+from paygrain.functions.measures import measure, member_words, members_counted, merged_words
 from paygrain.functions.money import dollars, finer_than_money, money_sums
 from paygrain.operators import enrich, evaluation, modeling, ordering, quality
 from paygrain.plans import reports, views
@@ -142,6 +142,16 @@ def sub_cent_value(s: Star) -> DataFrame:
     return summed.select("l_returnflag", dollars("net").alias("net_value"), "rounded_rows", "rows_finer_than_cents")
 
 
+@query
+def active_members_quarterly(s: Star) -> DataFrame:
+    """Distinct customers and merchants per quarter, from the bitmaps of the months."""
+    fact = s.lineitem.select("customer_id", "merchant_id", transaction_month(s.lineitem))
+    members = {"active_customers": "customer_id", "active_merchants": "merchant_id"}
+    months = member_words(fact, ["month"], members)
+    quarter = F.trunc("month", "quarter").alias("quarter")
+    return members_counted(merged_words(months, quarter), ["quarter"], list(members))
+
+
 @query
 def core_kpis(s: Star) -> DataFrame:
     return quality.core_kpis(s.lineitem)
@@ -522,6 +532,18 @@ def lr_coefficients(s: Star) -> DataFrame:
     return stated_table(s)
 
 
+@query
+def lr_coefficients_fitted(s: Star) -> DataFrame:
+    """The coefficients of a regression fitted here: names, order, and the columns made from them."""
+    table = modeling.lr_coefficients(modeling.fit_lr(train(s), max_iter=50), s.spark)
+    strength = [r.absolute_coefficient for r in table.collect()]
+    return table.select(
+        "feature", F.lit(strength == sorted(strength, reverse=True)).alias("strongest_first"),
+        (F.abs(F.log("exp_coefficient") - F.col("coefficient")) < 1e-9).alias("exp_agrees"),
+        (F.greatest(F.col("coefficient"), -F.col("coefficient")) == F.col("absolute_coefficient")).alias("absolute_agrees"),
+    )
+
+
 @query
 def top_coefficients(s: Star) -> DataFrame:
     """Strongest stated coefficients of each sign among levels that occur."""

@@ -68,10 +68,38 @@ def meet(groups: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
     return groups.join(renamed, same, "left").drop(*[f"_{key}" for key in keys])
 
 
+def member_words(fact: DataFrame, keys: Sequence[str], members: dict[str, str]) -> DataFrame:
+    """(keys, member, word, bits): the sets of members per group as bitmaps, mergeable by ``bit_or``.
+
+    ``members`` maps a name to a column of whole numbers. A number is a bit of a 64-bit word, so that
+    of densely numbered members a group has a row per 64, made in the tasks, in one scan for all of
+    ``members``. Words of finer groups make those of coarser ones: no second scan of the fact.
+    """
+    pairs = F.array(*(F.struct(F.lit(n).alias("member"), F.col(c).cast("bigint").alias("number")) for n, c in members.items()))
+    rows = fact.select(*keys, F.inline(pairs)).where("number IS NOT NULL")
+    bit = F.expr("shiftleft(1L, CAST(pmod(number, 64) AS INT))")
+    return rows.groupBy(*keys, "member", F.shiftright("number", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def merged_words(words: DataFrame, *keys: str | Column) -> DataFrame:
+    """The bitmaps of coarser groups from those of finer ones."""
+    return words.groupBy(*keys, "member", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def members_counted(words: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """One column per name with the number of distinct members of each group."""
+    counts = {n: F.when(F.col("member") == n, F.bit_count("bits")).otherwise(0).cast("bigint") for n in names}
+    return words.groupBy(*keys).agg(*(F.sum(count).alias(n) for n, count in counts.items()))
+
+
 def with_distinct_members(groups: DataFrame, fact: DataFrame, keys: Sequence[str], members: dict[str, str]) -> DataFrame:
     """Add one distinct count per entry of ``members`` (new column -> counted column)."""
-    for name, member in members.items():
-        groups = meet(groups, distinct_members(fact, keys, member, name), keys)
+    kinds = {fact.schema[member].dataType.typeName() for member in members.values()}
+    if kinds <= {"byte", "short", "integer", "long"}:
+        groups = meet(groups, members_counted(member_words(fact, keys, members), keys, list(members)), keys)
+    else:
+        for name, member in members.items():
+            groups = meet(groups, distinct_members(fact, keys, member, name), keys)
     return groups.fillna(0, subset=list(members))
 
 
