@@ -4,10 +4,10 @@ Sets that link at similarity t differ in at most ``(100 - t) / (100 + t)`` of th
 sizes, counted as elements of one set alone. That count is a metric, and so is the Jaccard
 distance ``1 - similarity``; everything below rests on their triangle inequalities.
 
-*Regions.* Copies of a set are one class. Classes that link share an element among the first few
-of their elements, in an order that all sets use: shared by many texts last, otherwise by hash. The
-holders of such an element, cut by windows of size, elect a pivot, and a class joins the regions of
-its pivots. (Which elements count as shared by many is counted on all texts and bounded in number;
+*Regions.* Copies of a set are one class. Classes that link share a twentieth of their elements among
+the first quarter of them, in an order that all sets use: shared by many texts last, otherwise by
+hash. The holders of such an element, cut by windows of size, elect a pivot, and a class joins the
+regions of its pivots, if it has elements enough that others hold. (Which elements count as shared by many is counted on all texts and bounded in number;
 it decides the order only, any choice gives the same links.)
 
 *In a region* every set is taken relative to the pivot: what it lacks and what it adds. Members
@@ -56,6 +56,7 @@ CELL = 48  # members that are compared with one another
 PIVOTS = 6
 KNOWN_WORDS = 1 << 20
 MARK_BITS = 1 << 23
+FEWER = 20  # linked sets share a twentieth of their number of shingles among their first elements
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
 
 
@@ -130,6 +131,11 @@ def in_sorted(values: np.ndarray, table: np.ndarray) -> np.ndarray:
     return table[np.minimum(at, len(table) - 1)] == values
 
 
+def least_shared(n: int) -> int:
+    """How many of their first elements two linked sets of at least n shingles share."""
+    return max(1, n // FEWER)
+
+
 def signatures(docs: DataFrame, width: int, percent: int, shared: np.ndarray) -> DataFrame:
     """doc_id, text_key, n, digest of the set, and its first elements: rare ones, then shared ones."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -142,7 +148,7 @@ def signatures(docs: DataFrame, width: int, percent: int, shared: np.ndarray) ->
                 own = shingles(text.as_py(), known, width)
                 n = len(own)
                 many = in_sorted(own, shared)
-                first = n - -(-percent * n // 100) + 1 if n else 0
+                first = n - -(-percent * n // 100) + least_shared(n) if n else 0
                 cold, hot = own[~many][:first], own[many]
                 sizes.append(n)
                 digests.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
@@ -166,7 +172,11 @@ def size_window(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def elected(percent: int):
-    """(id, pivot) of postings (h, id, sized): one pivot for each element and window of sizes."""
+    """(id, pivot, hits) of postings (h, id, sized): one pivot for each element and window of sizes.
+
+    ``hits`` is, in one row per class with itself as pivot, the number of its elements here that
+    others hold.
+    """
 
     def elect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [[c.to_numpy(zero_copy_only=False) for c in b.columns] for b in batches if b.num_rows]
@@ -186,28 +196,45 @@ def elected(percent: int):
         size = np.diff(np.append(start, len(h)))
         useful = (size > 1) & (np.add.reduceat(short, start) > 0)
         pivot, keep = np.repeat(who[start], size), np.repeat(useful, size)
-        found = np.unique(np.stack([who[keep], pivot[keep]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["id", "pivot"])
+        pairs = np.unique(np.stack([who[keep], pivot[keep]], axis=1), axis=0)
+        held = np.unique(np.stack([who[keep], h[keep]], axis=1), axis=0)[:, 0]
+        own, hits = np.unique(held, return_counts=True)
+        columns = [np.concatenate([pairs[:, 0], own]), np.concatenate([pairs[:, 1], own]), np.concatenate([np.zeros(len(pairs), np.int64), hits])]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "pivot", "hits"])
 
     return elect
 
 
-def regions_of(classes: DataFrame, percent: int) -> DataFrame:
+def regions_of(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """(id, pivot): the classes of each region."""
-    sized = "CAST(2 * n + IF(at < n - {0} + 1, 1, 0) AS BIGINT)".format(f"ceil({2 * percent} * n / {100 + percent})")
-    rare = classes.select("id", "n", F.posexplode("rare").alias("at", "h")).select("h", "id", F.expr(sized).alias("sized"))
-    pairs = rare.repartition("h").mapInArrow(elected(percent), "id long, pivot long")
+    fewer = F.greatest(F.lit(1), F.floor(F.col("n") / FEWER))
+    index = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + fewer
+    sized = (2 * F.col("n") + F.when(F.col("at") < index, 1).otherwise(0)).cast("long")
+    rare = classes.select("id", "n", F.posexplode("rare").alias("at", "h")).select("h", "id", sized.alias("sized"))
+    found = rare.repartition("h").mapInArrow(elected(percent), "id long, pivot long, hits long")
     # Shared elements have long postings; their pivot is counted in the tasks first. The rank
     # favours sets made of shared elements, which are in the middle of large groups.
     often = classes.select("id", "n", "rank", (F.size("rare")).alias("before"), F.posexplode("often").alias("at", "h"))
-    often = often.withColumn("at", F.col("at") + F.col("before")).withColumn("sized", F.expr(sized))
+    often = often.withColumn("at", F.col("at") + F.col("before")).withColumn("sized", sized)
     window = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("long")
     both = F.explode(F.array(window, window - 1))
     often = often.withColumn("own", window).withColumn("window", both)
     short = F.when(F.col("own") == F.col("window"), F.col("sized").bitwiseAND(F.lit(1).cast("long"))).otherwise(0)
     chosen = often.groupBy("h", "window").agg(F.min(F.struct("rank", "id")).alias("best"), F.count("*").alias("size"), F.sum(short).alias("short"))
     chosen = chosen.where("size > 1 AND short > 0").select("h", "window", F.col("best.id").alias("pivot"))
-    return pairs.unionByName(often.join(chosen, ["h", "window"]).select("id", "pivot")).where("id <> pivot").distinct()
+    joined_ = often.join(chosen, ["h", "window"])
+    # An element may be held in two windows; counting it twice lets some more classes through.
+    shared = joined_.groupBy("id", "pivot").agg(F.count("*").alias("hits"))
+    shared = shared.select("id", "pivot", F.lit(0).cast("long").alias("hits")).unionAll(shared.select("id", F.col("id").alias("pivot"), "hits"))
+    found = scratch.table(found.unionByName(shared))
+    least = F.greatest(F.lit(1), F.floor(F.ceil(F.lit(percent) * F.col("n") / 100) / FEWER))
+    hits = found.groupBy("id").agg(F.sum("hits").alias("hits"))
+    alive = scratch.table(hits.join(classes.select("id", "n"), "id").where(F.col("hits") >= least).select("id"))
+    pairs = found.where("id <> pivot").select("id", "pivot").distinct().join(alive, "id")
+    # A region of one class and a pivot that itself links with nothing is none.
+    sizes = pairs.groupBy("pivot").agg(F.count("*").alias("members"))
+    sizes = sizes.join(alive.select(F.col("id").alias("pivot"), F.lit(True).alias("own")), "pivot", "left")
+    return pairs.join(sizes.where("members > 1 OR own").select("pivot"), "pivot").select("id", "pivot")
 
 
 def relative(own: np.ndarray, pivot: np.ndarray) -> np.ndarray:
@@ -439,7 +466,7 @@ def jaccard_links(
     docs: DataFrame, classes: DataFrame, scratch: Scratch, width: int, percent: int, portion_size: int
 ) -> DataFrame:
     """(a, b): links between classes whose connected parts are those of all links."""
-    pairs = scratch.table(regions_of(classes.where("n > 0"), percent))
+    pairs = scratch.table(regions_of(classes, percent, scratch))
     region = F.col("pivot").cast("string").cast("binary").alias("region")
     pivots = pairs.select("pivot").distinct().select(region, F.col("pivot").alias("id"))
     placed = in_portions(pairs.select(region, "id"), pivots, portion_size)
