@@ -50,11 +50,11 @@ from paygrain.session import materialise
 
 SHINGLE_WORDS, PERCENT = 5, 80
 MOST_SHARED = 1 << 18  # elements that are put last, the most frequent ones: 2 MB of hashes
-COUNTED_AT_ONCE = 1 << 22
+COUNTED_AT_ONCE = 1 << 21
 PORTION = 4096  # sets of a region that one task holds
 CELL = 48  # members that are compared with one another
 PIVOTS = 6
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 17
 MARK_BITS = 1 << 23
 FEWER = 20  # linked sets share a twentieth of their number of shingles among their first elements
 ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD]
@@ -186,8 +186,8 @@ def elected(percent: int):
         n, short = sized >> 1, sized & 1
         window = size_window(n, percent)
         # The longer of two sets is also in the window below its own; only an own one can be the shorter.
-        h, who, n, short = np.tile(h, 2), np.tile(who, 2), np.tile(n, 2), np.concatenate([short, np.zeros_like(short)])
-        window = np.concatenate([window, window - 1])
+        first, short = who, np.concatenate([short, np.zeros_like(short)])
+        h, who, window = np.tile(h, 2), np.tile(who, 2), np.concatenate([window, window - 1])
         order = np.lexsort((who, window, h))
         h, who, window, short = h[order], who[order], window[order], short[order]
         new = np.ones(len(h), bool)
@@ -195,11 +195,17 @@ def elected(percent: int):
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(h)))
         useful = (size > 1) & (np.add.reduceat(short, start) > 0)
-        pivot, keep = np.repeat(who[start], size), np.repeat(useful, size)
-        pairs = np.unique(np.stack([who[keep], pivot[keep]], axis=1), axis=0)
-        held = np.unique(np.stack([who[keep], h[keep]], axis=1), axis=0)[:, 0]
-        own, hits = np.unique(held, return_counts=True)
-        columns = [np.concatenate([pairs[:, 0], own]), np.concatenate([pairs[:, 1], own]), np.concatenate([np.zeros(len(pairs), np.int64), hits])]
+        keep = np.repeat(useful, size)
+        who, pivot = who[keep], np.repeat(who[start[useful]], size[useful])
+        held = np.zeros(len(order), bool)
+        held[order] = keep
+        own, hits = np.unique(first[held[: len(first)] | held[len(first) :]], return_counts=True)
+        order = np.lexsort((pivot, who))
+        who, pivot = who[order], pivot[order]
+        new = np.ones(len(who), bool)
+        new[1:] = (who[1:] != who[:-1]) | (pivot[1:] != pivot[:-1])
+        who, pivot = who[new], pivot[new]
+        columns = [np.concatenate(c) for c in ([who, own], [pivot, own], [np.zeros(len(who), np.int64), hits])]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "pivot", "hits"])
 
     return elect
@@ -352,10 +358,10 @@ def joined_regions(percent: int, from_text: int | None):
         region, portions = rows[0][0], rows[0][1]
         ids = np.array([r[3] for r in rows], dtype=np.int64)
         if from_text is None:
-            sets = [np.sort(np.array(r[7], dtype=np.int64).view(np.uint64)) for r in rows]
+            sets = [np.sort(np.array(r[7].as_py(), dtype=np.int64).view(np.uint64)) for r in rows]
             sizes = np.array([r[6] for r in rows], dtype=np.int64)
         else:
-            sets = [shingles(r[7], known, from_text) for r in rows]
+            sets = [shingles(r[7].as_py(), known, from_text) for r in rows]
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
         pivot = max(range(len(rows)), key=lambda i: (rows[i][4], rows[i][5] is None))
         moved = [relative(s, sets[pivot]) for s in sets]
@@ -389,7 +395,8 @@ def joined_regions(percent: int, from_text: int | None):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, rows, last = WordHashes(), [], None
         for given in batches:
-            for row in zip(*(c.to_pylist() for c in given.columns), strict=True):
+            # Texts and elements stay in the batch until their region is worked on.
+            for row in zip(*(c.to_pylist() for c in given.columns[:-1]), given.columns[-1], strict=True):
                 if (row[0], row[2]) != last and rows:
                     yield from solve(rows, known)
                     rows = []
