@@ -7,6 +7,7 @@ stated again in plain SQL. Money is summed as DECIMAL(18,6), rates are doubles.
 from __future__ import annotations
 
 from paygrain import schema
+from paygrain.functions import fingerprint
 from paygrain.operators.modeling import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from paygrain.sources import fixtures
 from paygrain.sources.fixtures import STATED_COEFFICIENTS, STATED_INTERCEPT, mapping_ctes
@@ -658,10 +659,66 @@ SPLIT = (
     f"WHEN transaction_date < DATE '{fixtures.TEST_FROM}' THEN 'validation' ELSE 'test' END"
 )
 check("chronological_split", f"SELECT transaction_id, {SPLIT} AS split FROM features", FEATURES)
-check("hash_sample", f"""
-SELECT transaction_id FROM features
-WHERE {SPLIT} = 'train' AND CAST('0x' || substr(md5(CAST(transaction_id AS VARCHAR)), 1, 8) AS BIGINT) % 4 = 0
-""", FEATURES)
+WRAP = 1 << 64
+
+
+def _product(a: str, b: str | int) -> str:
+    return f"CAST((CAST({a} AS UHUGEINT) * CAST({b} AS UHUGEINT)) % {WRAP} AS UBIGINT)"
+
+
+def _total(*terms: str | int) -> str:
+    return "CAST((" + " + ".join(f"CAST({t} AS UHUGEINT)" for t in terms) + f") % {WRAP} AS UBIGINT)"
+
+
+def _turned(value: str, bits: int) -> str:
+    return _total(f"({value}) >> {bits}", f"(CAST({value} AS UHUGEINT) * {1 << 64 - bits}) % {WRAP}")
+
+
+def _number(start: str, count: int) -> str:
+    letters = [f"coalesce(ord(nullif(substr(s, CAST({start} + {i + 1} AS INT), 1), '')), 0)" for i in range(count)]
+    return _total(*(f"CAST({c} AS UHUGEINT) * {1 << 8 * i}" for i, c in enumerate(letters)))
+
+
+def _fingerprints(source: str, columns: str, text: str) -> str:
+    """CTEs that end in ``hashed``: ``columns`` and the fingerprint h of an ASCII text, in 128-bit arithmetic."""
+    k0, k1, k2 = fingerprint.K0, fingerprint.K1, fingerprint.K2
+    return f"""
+texts AS (SELECT {columns}, {text} AS s, length({text}) AS n, {k2} + 2 * length({text}) AS mul FROM {source}),
+parts AS (
+  SELECT *, {_number("0", 8)} AS a, {_number("8", 8)} AS b, {_number("greatest(n - 8, 0)", 8)} AS c,
+    {_number("greatest(n - 16, 0)", 8)} AS d, {_number("0", 4)} AS a4, {_number("greatest(n - 4, 0)", 4)} AS c4,
+    {_number("0", 1)} + 256 * {_number("n // 2", 1)} AS y, n + 4 * {_number("greatest(n - 1, 0)", 1)} AS z FROM texts
+),
+sums AS (
+  SELECT *, CASE WHEN n > 16 THEN {_product("a", k1)} ELSE {_total("a", k2)} END AS first,
+    CASE WHEN n > 16 THEN {_product("c", "mul")} ELSE c END AS last FROM parts
+),
+mixed AS (
+  SELECT *,
+    CASE WHEN n > 16 THEN {_total(_turned(_total("first", "b"), 43), _turned("last", 30), _product("d", k2))}
+      WHEN n > 7 THEN {_total(_product(_turned("last", 37), "mul"), "first")} ELSE {_total("n", "8 * CAST(a4 AS UHUGEINT)")} END AS u,
+    CASE WHEN n > 16 THEN {_total("first", _turned(_total("b", k2), 18), "last")}
+      WHEN n > 7 THEN {_product(_total(_turned("first", 25), "last"), "mul")} ELSE c4 END AS v FROM sums
+),
+once AS (SELECT *, {_product("xor(u, v)", "mul")} AS m1 FROM mixed),
+twice AS (SELECT *, {_product("xor(v, xor(m1, m1 >> 47))", "mul")} AS m2 FROM once),
+hashed AS (
+  SELECT *, CASE WHEN n > 3 THEN {_product("xor(m2, m2 >> 47)", "mul")}
+    ELSE {_product("xor(few, few >> 47)", k2)} END AS h
+  FROM (SELECT *, xor({_product("y", k2)}, {_product("z", k0)}) AS few FROM twice)
+)"""
+
+
+TRAIN_IDS = f"(SELECT transaction_id FROM features WHERE {SPLIT} = 'train')"
+check("hash_sample", "SELECT transaction_id FROM hashed WHERE h % 4 = 0",
+      FEATURES.strip().rstrip(",") + "," + _fingerprints(TRAIN_IDS, "transaction_id", "CAST(transaction_id AS VARCHAR)"))
+LINE_NAMES = """(
+  SELECT l_orderkey, l_linenumber, repeat('#', CAST(l_linenumber * l_linenumber // 2 AS INT)) || l_orderkey AS name
+  FROM lineitem
+)"""
+plain("id_fingerprints", f"""WITH {_fingerprints(LINE_NAMES, "l_orderkey, l_linenumber", "name")}
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN h >= {1 << 63} THEN CAST(h AS HUGEINT) - {WRAP} ELSE h END AS BIGINT) AS fingerprint
+FROM hashed""")
 check("split_summary", f"""
 SELECT {SPLIT} AS split, count(*) AS rows, count(*) FILTER (WHERE is_fraud) AS fraud, {rate("is_fraud")} AS fraud_rate
 FROM features GROUP BY 1

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from paygrain.functions import dates, metrics
 from paygrain.functions.dates import transaction_date, transaction_month
+from paygrain.functions.fingerprint import with_fingerprint
 from paygrain.functions.measures import measure, member_words, members_counted, merged_words
 from paygrain.functions.money import dollars, finer_than_money, money_sums
 from paygrain.operators import enrich, evaluation, modeling, ordering, quality
@@ -399,6 +400,14 @@ def hash_sample(s: Star) -> DataFrame:
     return modeling.read_split(features(s), "train", *SPLIT_DATES).select("transaction_id")
 
 
+@query
+def id_fingerprints(s: Star) -> DataFrame:
+    """Fingerprints of names of 1 to 32 bytes made from all order lines."""
+    sign = F.expr("repeat('#', CAST(l_linenumber * l_linenumber DIV 2 AS INT))")
+    named = s.raw("lineitem").select("l_orderkey", "l_linenumber", F.concat(sign, F.col("l_orderkey").cast("string")).alias("name"))
+    return with_fingerprint(named, "name", "fingerprint").drop("name")
+
+
 @query
 def split_summary(s: Star) -> DataFrame:
     return modeling.split_summary(modeling.chronological_split(features(s), *SPLIT_DATES))

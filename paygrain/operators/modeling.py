@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paygrain.functions.fingerprint import with_fingerprint
 from paygrain.functions.money import ratio
 from paygrain.operators import boosting
 from paygrain.operators.boosting import BoostedTrees, Settings
@@ -74,14 +75,12 @@ def chronological_split(
     return features.withColumn("split", split)
 
 
-def in_hash_sample(key: str, modulus: int = SAMPLE_MODULUS) -> Column:
-    """A fixed 1-in-``modulus`` choice by hashed id: 32 bits of its MD5, which any engine can repeat."""
-    digits = F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") % modulus == 0
-
-
 def hash_sample(rows: DataFrame, key: str = "transaction_id", modulus: int = SAMPLE_MODULUS) -> DataFrame:
-    return rows.where(in_hash_sample(key, modulus))
+    """A fixed 1-in-``modulus`` choice: ids whose public 64-bit fingerprint is divisible by it."""
+    name = "fingerprint"
+    while name in rows.columns:
+        name += "_"
+    return with_fingerprint(rows, key, name).where(F.col(name) % modulus == 0).drop(name)
 
 
 def read_split(
