@@ -478,33 +478,30 @@ SELECT 'lineitem.parquet: l_orderkey sequence does not overlap prior part', low
 """)
 
 
-def _quality_rows() -> str:
-    expected = 5_000_000
-    rows = [
-        "SELECT 'fact_transactions: required columns' AS \"check\", true AS passed, 'critical' AS severity, "
-        "'0 required columns absent' AS detail, CAST(0 AS BIGINT) AS violations",
-        "SELECT 'dim_customer: forbidden columns', true, 'critical', '0 forbidden columns there', CAST(0 AS BIGINT)",
-        *_dimension_rules(),
-        *_row_rules("fact_lineitem"),
-        *_key_rules("fact_transactions", "fact_lineitem", "transaction_id"),
-    ]
+def _reference_rules(fact: str, filtered: dict[str, str] | None = None) -> list[str]:
+    filtered, rows = filtered or {}, []
     for label, (table, key) in schema.FOREIGN_KEYS.items():
-        orphans = f"count(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN (SELECT {key} FROM {table}))"
+        orphans = f"count(*) FILTER (WHERE {key} IS NULL OR {key} NOT IN (SELECT {key} FROM {filtered.get(table, table)}))"
         rows.append(
             _check_row(
                 f"'fact_transactions: {label} foreign key'", orphans, f"'rows with an unknown {key}: ' || {orphans}"
-            ) + " FROM fact_lineitem)"
+            ) + f" FROM {fact})"
         )
     outside = f"count(*) FILTER (WHERE {DAY} NOT IN (SELECT date FROM calendar))"
     rows.append(
         _check_row("'fact_transactions: dates in calendar'", outside, f"'rows outside calendar=' || {outside}")
-        + " FROM fact_lineitem)"
+        + f" FROM {fact})"
     )
     wrong = "count(*) FILTER (WHERE (is_cross_border = (merchant_country <> home_country)) IS NOT TRUE)"
     rows.append(
         _check_row("'fact_transactions: cross-border rule'", wrong, f"'rows with wrong flag=' || {wrong}")
-        + " FROM fact_lineitem JOIN dim_merchant USING (merchant_id) JOIN dim_customer USING (customer_id))"
+        + f" FROM {fact} JOIN dim_merchant USING (merchant_id) JOIN {filtered.get('dim_customer', 'dim_customer')} AS c USING (customer_id))"
     )
+    return rows
+
+
+def _total_rules(expected: int) -> list[str]:
+    rows = []
     rows.append(
         _check_row(
             "'fact_transactions: expected total row count'", f"abs(count(*) - {expected})",
@@ -527,9 +524,51 @@ def _quality_rows() -> str:
                 f"printf('%.4f', 100 * ({value})) || '% is the {column}'", "warning",
             ) + " FROM fact_lineitem)"
         )
+    return rows
+
+
+def _quality_rows() -> str:
+    expected = 5_000_000
+    rows = [
+        "SELECT 'fact_transactions: required columns' AS \"check\", true AS passed, 'critical' AS severity, "
+        "'0 required columns absent' AS detail, CAST(0 AS BIGINT) AS violations",
+        "SELECT 'dim_customer: forbidden columns', true, 'critical', '0 forbidden columns there', CAST(0 AS BIGINT)",
+        *_dimension_rules(),
+        *_row_rules("fact_lineitem"),
+        *_key_rules("fact_transactions", "fact_lineitem", "transaction_id"),
+        *_reference_rules("fact_lineitem"),
+        *_total_rules(expected),
+    ]
     return "\nUNION ALL ".join(rows)
 
 
+def _part_rows() -> str:
+    rows = []
+    for k in range(6):
+        name = f"part-{k}"
+        own = f"(SELECT * FROM parted WHERE part = '{name}')"
+        known = {"dim_customer": "(SELECT * FROM dim_customer WHERE customer_segment <> 'MACHINERY')"}
+        rules = [*_row_rules(own), *_reference_rules(own, known)]
+        rows += [rule.replace("'fact_transactions: ", f"'{name}: ") for rule in rules]
+    prior = "coalesce((SELECT max(transaction_id) FROM parted AS p WHERE p.part < o.part), 0)"
+    ids = f"(SELECT part, count(*) - count(DISTINCT transaction_id) AS extra, min(transaction_id) AS low, max(transaction_id) AS high FROM parted GROUP BY 1)"
+    rows.append(
+        "SELECT part || ': transaction_id unique within part', extra = 0, 'critical', 'rows that repeat an id: ' || extra, extra "
+        f"FROM {ids}"
+    )
+    rows.append(
+        "SELECT part || ': transaction_id sequence does not overlap prior part', low > prior, 'critical', "
+        "'ids ' || format('{:,}', low) || ' to ' || format('{:,}', high) || ' after ' || format('{:,}', prior), "
+        f"CAST(CASE WHEN low > prior THEN 0 ELSE 1 END AS BIGINT) FROM (SELECT *, {prior} AS prior FROM {ids} AS o)"
+    )
+    return "\nUNION ALL ".join(rows + _total_rules(5_000_000))
+
+
+check("dq_part_report", _part_rows(), _calendar("fact_lineitem").strip().rstrip(",") + """,
+parted AS (
+  SELECT *, 'part-' || (transaction_id * 5 // (1 + (SELECT max(transaction_id) FROM fact_lineitem))
+    + CASE WHEN transaction_id % 97 = 0 THEN 1 ELSE 0 END) AS part FROM fact_lineitem
+)""")
 MISSING_MONTH = f"count(*) FILTER (WHERE month({DAY}) = 6)"
 check("dq_calendar_gaps", _check_row(
     "'fact_transactions: dates in calendar'", MISSING_MONTH, f"'rows outside calendar=' || {MISSING_MONTH}"
