@@ -64,17 +64,11 @@ def part_files(spark: SparkSession, directory: str, pattern: str = PART_GLOB) ->
 
 def _unknown(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """(part, unknown): payments per reference whose value is null or not known, and wrong flags."""
-    references = _references(dimensions)
-    values = {label: transaction_date(fact) if label == quality.CALENDAR else F.col(key) for label, (_, key) in references.items()}
-    found = []
-    if values:
-        pairs = F.array(*(F.struct(F.lit(n).alias("reference"), v.cast("string").alias("value")) for n, v in values.items()))
-        counted = fact.select("part", F.inline(pairs)).groupBy("part", "reference", "value").agg(F.count(F.lit(1)).alias("n"))
-        known = union_all([
-            dimensions[table].select(F.lit(label).alias("reference"), F.col(key).cast("string").alias("value"))
-            for label, (table, key) in references.items()
-        ])
-        found.append(counted.join(known, ["reference", "value"], "left_anti").select("part", "reference", "n"))
+    references = {
+        label: (transaction_date(fact) if label == quality.CALENDAR else F.col(key), dimensions[table].select(key))
+        for label, (table, key) in _references(dimensions).items()
+    }
+    found = [quality.unknown_values(fact, references, ["part"])] if references else []
     if {"dim_merchant", "dim_customer"} <= set(dimensions):
         wrong = quality.wrong_flags(fact, dimensions["dim_merchant"], dimensions["dim_customer"], ["part"])
         found.append(wrong.select("part", F.lit(names.CROSS_BORDER_RULE).alias("reference"), "n"))
