@@ -16,6 +16,12 @@ from paygrain.sources.fixtures import Star
 SMALL = str(TESTDATA / "sf0.001")
 
 
+def test_quality_reports_join_the_fact_once(spark):
+    for name in ("dq_report", "dq_gate", "dq_part_report"):
+        read = queries.REGISTRY[name](spark, SMALL).inputFiles()
+        assert read and not [path for path in read if "orders.parquet" in path or "lineitem.parquet" in path]
+
+
 def test_rows_of_one_partition_are_dealt_to_cores_and_have_gradients_once_a_tree(spark, monkeypatch):
     rows = spark.range(30_000, numPartitions=1).select(
         (F.col("id") % 17).cast("double").alias("a"), F.lit("u").alias("c"), ((F.col("id") * 7919) % 17 < 5).alias("y"),
