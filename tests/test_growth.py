@@ -22,6 +22,13 @@ def test_quality_reports_join_the_fact_once(spark):
         assert read and not [path for path in read if "orders.parquet" in path or "lineitem.parquet" in path]
 
 
+def test_fits_join_the_features_once(spark):
+    view = queries.stored_features(Star(spark, SMALL))
+    for split in (queries.train(view), queries.test_split(view)):
+        assert split.columns and not [path for path in split.inputFiles() if "customer.parquet" in path or "part.parquet" in path]
+    assert view.count() == queries.features(Star(spark, SMALL)).count()
+
+
 def test_rows_of_one_partition_are_dealt_to_cores_and_have_gradients_once_a_tree(spark, monkeypatch):
     rows = spark.range(30_000, numPartitions=1).select(
         (F.col("id") % 17).cast("double").alias("a"), F.lit("u").alias("c"), ((F.col("id") * 7919) % 17 < 5).alias("y"),
