@@ -8,6 +8,8 @@ much smaller result, and only then divides. Unused measures are pruned by Cataly
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +18,10 @@ from paygrain.functions.money import dollars, limbs, money_sums, ratio
 from paygrain.schema import APPROVED, DECLINED
 
 
+WORDS = 8  # of 64 bits in a block of a bitmap
+BLOCK_BITS = [f"bits{i}" for i in range(WORDS)]
+
+
 def _additive() -> dict[str, Column]:
     approved = F.col("transaction_status") == APPROVED
     return {
@@ -69,26 +75,35 @@ def meet(groups: DataFrame, extra: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def member_words(fact: DataFrame, keys: Sequence[str], members: dict[str, str]) -> DataFrame:
-    """(keys, member, word, bits): the sets of members per group as bitmaps, mergeable by ``bit_or``.
+    """(keys, member, block, bits0 to bits7): the sets of members per group as bitmaps, mergeable by ``bit_or``.
 
-    ``members`` maps a name to a column of whole numbers. A number is a bit of a 64-bit word, so that
-    of densely numbered members a group has a row per 64, made in the tasks, in one scan for all of
-    ``members``. Words of finer groups make those of coarser ones: no second scan of the fact.
+    ``members`` maps a name to a column of whole numbers. A number is a bit of one of the eight 64-bit
+    words of its block, so that of densely numbered members a group has a row per 512, made in the
+    tasks, in one scan for all of ``members``; keys are short numbers, so tasks hold few bytes a row.
+    Blocks of finer groups make those of coarser ones: no second scan of the fact.
     """
-    pairs = F.array(*(F.struct(F.lit(n).alias("member"), F.col(c).cast("bigint").alias("number")) for n, c in members.items()))
+    pairs = F.array(*(
+        F.struct(F.lit(i).cast("tinyint").alias("place"), F.col(c).cast("bigint").alias("number"))
+        for i, c in enumerate(members.values())
+    ))
     rows = fact.select(*keys, F.inline(pairs)).where("number IS NOT NULL")
     bit = F.expr("shiftleft(1L, CAST(pmod(number, 64) AS INT))")
-    return rows.groupBy(*keys, "member", F.shiftright("number", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    word = F.pmod(F.shiftright("number", 6), F.lit(WORDS))
+    words = [F.bit_or(F.when(word == i, bit).otherwise(F.lit(0).cast("bigint"))).alias(f"bits{i}") for i in range(WORDS)]
+    grouped = rows.groupBy(*keys, "place", F.shiftright("number", 9).alias("block")).agg(*words)
+    names = F.array(*(F.lit(name) for name in members))
+    return grouped.select(*keys, F.get(names, F.col("place").cast("int")).alias("member"), "block", *BLOCK_BITS)
 
 
 def merged_words(words: DataFrame, *keys: str | Column) -> DataFrame:
     """The bitmaps of coarser groups from those of finer ones."""
-    return words.groupBy(*keys, "member", "word").agg(F.bit_or("bits").alias("bits"))
+    return words.groupBy(*keys, "member", "block").agg(*(F.bit_or(bits).alias(bits) for bits in BLOCK_BITS))
 
 
 def members_counted(words: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
     """One column per name with the number of distinct members of each group."""
-    counts = {n: F.when(F.col("member") == n, F.bit_count("bits")).otherwise(0).cast("bigint") for n in names}
+    held = reduce(add, (F.bit_count(bits) for bits in BLOCK_BITS))
+    counts = {n: F.when(F.col("member") == n, held).otherwise(0).cast("bigint") for n in names}
     return words.groupBy(*keys).agg(*(F.sum(count).alias(n) for n, count in counts.items()))
 
 

@@ -29,6 +29,19 @@ def test_fits_join_the_features_once(spark):
     assert view.count() == queries.features(Star(spark, SMALL)).count()
 
 
+def test_a_block_of_a_bitmap_holds_512_members(spark):
+    numbers = [*range(1024), *range(500), -1, -64, -513, 1 << 40, None]
+    fact = spark.createDataFrame([("g", n, 7) for n in numbers] + [(None, 3, None)], "k string, a bigint, b int")
+    words = member_words(fact, ["k"], {"as": "a", "bs": "b"})
+    assert words.where("k = 'g' AND member = 'as' AND block IN (0, 1)").count() == 2
+    assert words.where("k = 'g' AND member = 'as'").count() == 5
+    expected = {("g", 1028, 1), (None, 1, 0)}
+    assert {tuple(r) for r in members_counted(words, ["k"], ["as", "bs"]).collect()} == expected
+    halves = [member_words(fact.where(c), ["k"], {"as": "a", "bs": "b"}) for c in ("a % 2 = 0", "a % 2 <> 0 OR a IS NULL")]
+    united = merged_words(halves[0].unionByName(halves[1]), "k")
+    assert {tuple(r) for r in members_counted(united, ["k"], ["as", "bs"]).collect()} == expected
+
+
 def test_rows_of_one_partition_are_dealt_to_cores_and_have_gradients_once_a_tree(spark, monkeypatch):
     rows = spark.range(30_000, numPartitions=1).select(
         (F.col("id") % 17).cast("double").alias("a"), F.lit("u").alias("c"), ((F.col("id") * 7919) % 17 < 5).alias("y"),
