@@ -42,6 +42,14 @@ def test_a_block_of_a_bitmap_holds_512_members(spark):
     assert {tuple(r) for r in members_counted(united, ["k"], ["as", "bs"]).collect()} == expected
 
 
+def test_blocks_of_ids_are_not_grouped_by_id(spark):
+    plan = queries.dense_id_blocks.__wrapped__ if hasattr(queries.dense_id_blocks, "__wrapped__") else queries.dense_id_blocks
+    frame = plan(Star(spark, SMALL))
+    assert not re.search(r"Aggregate\(keys=\[[^\]]*line_id", frame._jdf.queryExecution().toString())
+    wrong = frame.where("ids <> lines OR last_id - first_id + 1 <> lines")
+    assert frame.count() > 0 and wrong.count() == 0
+
+
 def test_rows_of_one_partition_are_dealt_to_cores_and_have_gradients_once_a_tree(spark, monkeypatch):
     rows = spark.range(30_000, numPartitions=1).select(
         (F.col("id") % 17).cast("double").alias("a"), F.lit("u").alias("c"), ((F.col("id") * 7919) % 17 < 5).alias("y"),
