@@ -172,10 +172,11 @@ def size_window(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def elected(percent: int):
-    """(id, pivot, hits) of postings (h, id, sized): one pivot for each element and window of sizes.
+    """(id, pivot, hits, pivot_hits) of postings (h, id, sized): one pivot for each element and window of sizes.
 
-    ``hits`` is, in one row per class with itself as pivot, the number of its elements here that
-    others hold.
+    One row per class and pivot other than itself. The sum of a class's ``hits`` and, where it is the
+    pivot, ``pivot_hits`` is the number of its elements here that others hold: an element counts
+    once, in one of its windows. So an element of s holders makes s - 1 rows in a window at most.
     """
 
     def elect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,27 +187,33 @@ def elected(percent: int):
         n, short = sized >> 1, sized & 1
         window = size_window(n, percent)
         # The longer of two sets is also in the window below its own; only an own one can be the shorter.
-        first, short = who, np.concatenate([short, np.zeros_like(short)])
+        short = np.concatenate([short, np.zeros_like(short)])
+        posting = np.tile(np.arange(len(h)), 2)
         h, who, window = np.tile(h, 2), np.tile(who, 2), np.concatenate([window, window - 1])
         order = np.lexsort((who, window, h))
-        h, who, window, short = h[order], who[order], window[order], short[order]
+        h, who, window, short, posting = h[order], who[order], window[order], short[order], posting[order]
         new = np.ones(len(h), bool)
         new[1:] = (h[1:] != h[:-1]) | (window[1:] != window[:-1])
         start = np.flatnonzero(new)
         size = np.diff(np.append(start, len(h)))
         useful = (size > 1) & (np.add.reduceat(short, start) > 0)
         keep = np.repeat(useful, size)
-        who, pivot = who[keep], np.repeat(who[start[useful]], size[useful])
-        held = np.zeros(len(order), bool)
-        held[order] = keep
-        own, hits = np.unique(first[held[: len(first)] | held[len(first) :]], return_counts=True)
-        order = np.lexsort((pivot, who))
-        who, pivot = who[order], pivot[order]
+        if not keep.any():
+            return
+        who, pivot, leads = who[keep], np.repeat(who[start[useful]], size[useful]), new[keep]
+        counted = np.zeros(len(who), np.int64)
+        counted[np.unique(posting[keep], return_index=True)[1]] = 1
+        # What the pivot, the first of its window, has counted goes with the row of the second.
+        of_pivot = np.zeros(len(who), np.int64)
+        of_pivot[1:] = counted[:-1] * leads[:-1]
+        columns = [c[~leads] for c in (who, pivot, counted, of_pivot)]
+        order = np.lexsort(columns[1::-1])
+        who, pivot, counted, of_pivot = (c[order] for c in columns)
         new = np.ones(len(who), bool)
         new[1:] = (who[1:] != who[:-1]) | (pivot[1:] != pivot[:-1])
-        who, pivot = who[new], pivot[new]
-        columns = [np.concatenate(c) for c in ([who, own], [pivot, own], [np.zeros(len(who), np.int64), hits])]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "pivot", "hits"])
+        start = np.flatnonzero(new)
+        columns = [who[new], pivot[new], np.add.reduceat(counted, start), np.add.reduceat(of_pivot, start)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "pivot", "hits", "pivot_hits"])
 
     return elect
 
@@ -217,7 +224,7 @@ def regions_of(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     index = F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + fewer
     sized = (2 * F.col("n") + F.when(F.col("at") < index, 1).otherwise(0)).cast("long")
     rare = classes.select("id", "n", F.posexplode("rare").alias("at", "h")).select("h", "id", sized.alias("sized"))
-    found = rare.repartition("h").mapInArrow(elected(percent), "id long, pivot long, hits long")
+    found = rare.repartition("h").mapInArrow(elected(percent), "id long, pivot long, hits long, pivot_hits long")
     # Shared elements have long postings; their pivot is counted in the tasks first. The rank
     # favours sets made of shared elements, which are in the middle of large groups.
     often = classes.select("id", "n", "rank", (F.size("rare")).alias("before"), F.posexplode("often").alias("at", "h"))
@@ -230,11 +237,11 @@ def regions_of(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     chosen = chosen.where("size > 1 AND short > 0").select("h", "window", F.col("best.id").alias("pivot"))
     joined_ = often.join(chosen, ["h", "window"])
     # An element may be held in two windows; counting it twice lets some more classes through.
-    shared = joined_.groupBy("id", "pivot").agg(F.count("*").alias("hits"))
-    shared = shared.select("id", "pivot", F.lit(0).cast("long").alias("hits")).unionAll(shared.select("id", F.col("id").alias("pivot"), "hits"))
+    shared = joined_.groupBy("id", "pivot").agg(F.count("*").alias("hits")).withColumn("pivot_hits", F.lit(0).cast("long"))
     found = scratch.table(found.unionByName(shared))
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.lit(percent) * F.col("n") / 100) / FEWER))
-    hits = found.groupBy("id").agg(F.sum("hits").alias("hits"))
+    hits = found.select("id", "hits").unionAll(found.where("pivot_hits > 0").select("pivot", "pivot_hits"))
+    hits = hits.groupBy("id").agg(F.sum("hits").alias("hits"))
     alive = scratch.table(hits.join(classes.select("id", "n"), "id").where(F.col("hits") >= least).select("id"))
     pairs = found.where("id <> pivot").select("id", "pivot").distinct().join(alive, "id")
     # A region of one class and a pivot that itself links with nothing is none.

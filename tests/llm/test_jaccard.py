@@ -115,3 +115,40 @@ def test_edge_cases(spark, edge_docs, edge_rows):
 
 def test_empty_table(spark, no_docs):
     assert jaccard.joined(no_docs).count() == 0
+
+
+def test_election_makes_a_row_for_each_further_holder():
+    pick = random.Random(11)
+    sizes = [pick.randrange(300, 700) for _ in range(40)]
+    holders = {h: sorted(pick.sample(range(6 if h < 60 else 40), pick.randrange(1, 5))) for h in range(180)}
+    postings = [(h, i, 2 * sizes[i] + pick.randrange(2)) for h, held in holders.items() for i in held]
+    elect, rows, plain = jaccard.elected(80), [], []
+    for part in range(9):  # partitions of elements
+        own = [p for p in postings if p[0] % 9 == part]
+        batch = jaccard.pa.RecordBatch.from_arrays([jaccard.pa.array(c, jaccard.pa.int64()) for c in zip(*own, strict=True)], ["h", "id", "sized"])
+        rows += [r for out in elect(iter([batch])) for r in out.to_pylist()]
+    windows = jaccard.size_window(np.array(sizes), 80)
+    hits, pairs = {}, set()
+    for h in holders:
+        met = set()
+        for w in range(int(windows.min()) - 1, int(windows.max()) + 1):
+            group = [(i, s & 1 and windows[i] == w) for g, i, s in postings if g == h and windows[i] - w in (0, 1)]
+            if len(group) > 1 and any(short for _, short in group):
+                met |= {i for i, _ in group}
+                pairs |= {(i, group[0][0]) for i, _ in group[1:]}
+        for i in met:
+            hits[i] = hits.get(i, 0) + 1
+    assert {(r["id"], r["pivot"]) for r in rows} == pairs
+    for r in rows:
+        plain += [(r["id"], r["hits"]), (r["pivot"], r["pivot_hits"])]
+    assert {i: sum(n for j, n in plain if j == i) for i in hits} == hits and sum(n for _, n in plain) == sum(hits.values())
+    assert len(rows) <= len(postings) - len(holders)
+
+
+def test_election_grows_with_the_holders():
+    def made(size):
+        columns = [[7] * size, list(range(size)), [2 * 500 + 1] * size]
+        batch = jaccard.pa.RecordBatch.from_arrays([jaccard.pa.array(c, jaccard.pa.int64()) for c in columns], ["h", "id", "sized"])
+        return sum(b.num_rows for b in jaccard.elected(80)(iter([batch])))
+
+    assert [made(n) for n in (1, 2, 500, 4000)] == [0, 1, 499, 3999]
