@@ -20,7 +20,7 @@ SMALL = str(TESTDATA / "sf0.001")
 
 def test_registered():
     assert set(QUERIES) <= set(driver.queries()) and "pipeline" in driver.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_equals_its_stages(spark):
